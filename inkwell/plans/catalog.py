@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from inkwell.functions import text as T
 from inkwell.operators import postings as P
 from inkwell.operators import search as S
+from inkwell.operators import stats as A
 from inkwell.sources import workloads as WL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,7 +81,7 @@ def q_index_size_main(spark, sf_dir):
 def q_query_terms(spark, sf_dir):
     # the workload is parsed against the corpus it will search; the terms
     # themselves depend only on the workload strings
-    return S.explode_query_terms(WL.workload(spark))
+    return S.explode_query_terms(WL.extended_workload(spark, sf_dir))
 
 
 @register("term_hits")
@@ -159,3 +160,31 @@ def q_negation_only(spark, sf_dir):
 def q_empty_query(spark, sf_dir):
     q = spark.createDataFrame([(0, ""), (1, "   ")], "query_id bigint, query string")
     return _results(spark, sf_dir, q)[2]
+
+
+# --- step 4: statistics and lookups -----------------------------------------
+@register("document_freq")
+def q_document_freq(spark, sf_dir):
+    return A.document_freq(_index(spark, sf_dir), WL.benchmark_phrases(spark, sf_dir))
+
+
+@register("index_freq")
+def q_index_freq(spark, sf_dir):
+    return A.index_freq(_index(spark, sf_dir), WL.benchmark_phrases(spark, sf_dir))
+
+
+@register("document_term_freq")
+def q_document_term_freq(spark, sf_dir):
+    return A.document_term_freq(_index(spark, sf_dir), WL.lookup_pairs(spark, sf_dir))
+
+
+@register("document_text")
+def q_document_text(spark, sf_dir):
+    ids = WL.read_table(spark, sf_dir, "labels").select("doc_id")
+    return A.document_text(WL.documents(spark, sf_dir), ids)
+
+
+@register("document_title")
+def q_document_title(spark, sf_dir):
+    ids = WL.read_table(spark, sf_dir, "labels").select("doc_id")
+    return A.document_title(WL.documents(spark, sf_dir), ids)

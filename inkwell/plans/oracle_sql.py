@@ -9,7 +9,7 @@ generated from the Spark plans.
 from __future__ import annotations
 
 from inkwell.sources.workloads import (DELTA_RULES, LOG_MIN_FREQ, LOG_MOD, LOG_MULT,
-                                       TOMBSTONE_MOD, TOMBSTONE_REM, WORKLOAD)
+                                       LOOKUP_PHRASES, TOMBSTONE_MOD, TOMBSTONE_REM, WORKLOAD)
 
 
 def _sql_str(s: str) -> str:
@@ -159,7 +159,13 @@ SELECT count(*) AS n_postings, count(DISTINCT term) AS n_terms, count(DISTINCT d
        CAST(sum(octet_length(encode(term)) + 16) AS BIGINT) AS logical_bytes FROM postings"""
 
 # --- step 2/3: search -------------------------------------------------------
-ORACLES["query_terms"] = _with(WORKLOAD_CTE, query_terms_cte()) + """
+EXT_WORKLOAD_CTE = WORKLOAD_CTE.replace("queries(", "fixed_queries(", 1) + """,
+queries AS (
+  SELECT query_id, query FROM fixed_queries
+  UNION ALL SELECT 1000000 + item_id, '"' || text || '"' FROM benchmark
+  UNION ALL SELECT 2000000 + conv_id * 1000 + turn, text FROM conversations WHERE role = 'user'
+)"""
+ORACLES["query_terms"] = _with(EXT_WORKLOAD_CTE, query_terms_cte()) + """
 SELECT query_id, term_no, negated, n_words, "offset", word FROM qt"""
 ORACLES["term_hits"] = BASE + """
 SELECT q.query_id, q.term_no, q.negated, q.n_words, p.doc_id, p.pos - q."offset" AS start, p.wpos
@@ -203,3 +209,49 @@ ORACLES["empty_query"] = SEARCH.replace(
     WORKLOAD_CTE, values_cte("queries", "query_id, query", [(0, ""), (1, "   ")],
                              ["BIGINT", "VARCHAR"])) + """
 SELECT query_id, doc_id, score, location FROM results"""
+
+
+# --- step 4: statistics and lookups -----------------------------------------
+PHRASE_WORDS = f"""
+pw_terms AS (
+  SELECT phrase_id, phrase,
+         list_filter(list_transform(string_split_regex(coalesce(phrase, ''), '\\s+'),
+                                    lambda w: regexp_replace(lower(w), {TERM_RE}, '', 'g')),
+                     lambda w: w <> '') AS words
+  FROM phrases
+),
+pw AS (
+  SELECT phrase_id, CAST(len(words) AS INTEGER) AS n_words, CAST(o.i - 1 AS INTEGER) AS "offset",
+         words[o.i] AS word
+  FROM pw_terms, LATERAL (SELECT unnest(range(1, len(words) + 1)) AS i) o WHERE len(words) > 0
+),
+pw_occ AS (
+  SELECT q.phrase_id, p.doc_id, p.pos - q."offset" AS start
+  FROM postings p JOIN pw q ON p.term = q.word
+  GROUP BY q.phrase_id, p.doc_id, p.pos - q."offset"
+  HAVING count(*) = any_value(q.n_words)
+)"""
+BENCH_PHRASES = "phrases AS (SELECT item_id AS phrase_id, text AS phrase FROM benchmark)"
+ORACLES["document_freq"] = _with(tokenize_cte(), BENCH_PHRASES, PHRASE_WORDS) + """
+SELECT ph.phrase_id, ph.phrase, CAST(coalesce(c.df, 0) AS BIGINT) AS df
+FROM phrases ph LEFT JOIN (SELECT phrase_id, count(DISTINCT doc_id) AS df FROM pw_occ GROUP BY phrase_id) c
+  ON ph.phrase_id = c.phrase_id"""
+ORACLES["index_freq"] = _with(tokenize_cte(), BENCH_PHRASES, PHRASE_WORDS) + """
+SELECT ph.phrase_id, ph.phrase, CAST(coalesce(c.cf, 0) AS BIGINT) AS cf
+FROM phrases ph LEFT JOIN (SELECT phrase_id, count(*) AS cf FROM pw_occ GROUP BY phrase_id) c
+  ON ph.phrase_id = c.phrase_id"""
+_LOOKUP = ", ".join(f"({k}, {_sql_str(p)})" for k, p in enumerate(LOOKUP_PHRASES))
+PAIRS = f"""lookup(k, phrase) AS (VALUES {_LOOKUP}),
+pairs AS (SELECT l.doc_id * 10 + k.k AS pair_id, l.doc_id, k.phrase FROM labels l CROSS JOIN lookup k),
+phrases AS (SELECT DISTINCT phrase AS phrase_id, phrase FROM pairs)"""
+ORACLES["document_term_freq"] = _with(tokenize_cte(), PAIRS, PHRASE_WORDS) + """
+SELECT pr.pair_id, pr.doc_id, pr.phrase, CAST(coalesce(c.tf, 0) AS BIGINT) AS tf
+FROM pairs pr LEFT JOIN (SELECT phrase_id, doc_id, count(*) AS tf FROM pw_occ GROUP BY phrase_id, doc_id) c
+  ON pr.phrase = c.phrase_id AND pr.doc_id = c.doc_id"""
+ORACLES["document_text"] = """
+SELECT l.doc_id, coalesce(d.text, '') AS text FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id"""
+ORACLES["document_title"] = """
+SELECT l.doc_id, coalesce(CASE WHEN len(string_split(d.text, chr(10))) > 4
+                               THEN array_to_string(list_slice(string_split(d.text, chr(10)), 1, 4), chr(10))
+                               ELSE regexp_replace(d.text, '\n$', '') END, '') AS title
+FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id"""

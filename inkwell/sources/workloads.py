@@ -54,6 +54,36 @@ def workload(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(WORKLOAD, "query_id bigint, query string")
 
 
+# Phrases looked up per labelled document (pair_id = doc_id * 10 + k).
+LOOKUP_PHRASES = ["the", "of the", "was"]
+
+
+def benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(phrase_id, phrase): benchmark passages, each looked up as a phrase."""
+    return read_table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("phrase_id"), F.col("text").alias("phrase"))
+
+
+def extended_workload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed workload plus benchmark passages as quoted phrase queries and
+    user turns of conversations as free-text queries."""
+    bench = read_table(spark, sf_dir, "benchmark").select(
+        (F.lit(1_000_000) + F.col("item_id")).alias("query_id"),
+        F.concat(F.lit('"'), F.col("text"), F.lit('"')).alias("query"))
+    conv = read_table(spark, sf_dir, "conversations").filter(F.col("role") == "user").select(
+        (F.lit(2_000_000) + F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"),
+        F.col("text").alias("query"))
+    return workload(spark).unionByName(bench).unionByName(conv)
+
+
+def lookup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pair_id, doc_id, phrase): every labelled document with each lookup phrase."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id")
+    phrases = F.array(*[F.lit(p) for p in LOOKUP_PHRASES])
+    return labels.select("doc_id", F.posexplode(phrases).alias("k", "phrase")).select(
+        (F.col("doc_id") * 10 + F.col("k")).alias("pair_id"), "doc_id", "phrase")
+
+
 def delta_docs(docs: DataFrame) -> DataFrame:
     """delta_docs(doc_id, text, index_seq, path) derived from the corpus by
     the fixed rules above (equi-joins on shifted ids, no driver work)."""
