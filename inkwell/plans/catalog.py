@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from inkwell.functions import text as T
 from inkwell.operators import postings as P
 from inkwell.operators import search as S
+from inkwell.operators import similar as W
 from inkwell.operators import stats as A
 from inkwell.sources import workloads as WL
 
@@ -188,3 +189,59 @@ def q_document_text(spark, sf_dir):
 def q_document_title(spark, sf_dir):
     ids = WL.read_table(spark, sf_dir, "labels").select("doc_id")
     return A.document_title(WL.documents(spark, sf_dir), ids)
+
+
+# --- step 7: similar words ---------------------------------------------------
+def _sim_inputs(spark, sf_dir):
+    docs = WL.documents(spark, sf_dir)
+    return docs, WL.similar_words_input(spark)
+
+
+def _stats(docs):
+    return P.term_stats(P.build_postings(docs), docs)
+
+
+@register("first_occurrence")
+def q_first_occurrence(spark, sf_dir):
+    return W.first_occurrence(WL.documents(spark, sf_dir))
+
+
+@register("neighbours")
+def q_neighbours(spark, sf_dir):
+    return W.neighbours(WL.documents(spark, sf_dir))
+
+
+@register("word_contexts")
+def q_word_contexts(spark, sf_dir):
+    docs, words = _sim_inputs(spark, sf_dir)
+    return W.word_contexts(docs, words)
+
+
+@register("context_anchors")
+def q_context_anchors(spark, sf_dir):
+    docs, words = _sim_inputs(spark, sf_dir)
+    return W.context_anchors(W.word_contexts(docs, words), _stats(docs))
+
+
+@register("similar_candidates")
+def q_similar_candidates(spark, sf_dir):
+    docs, words = _sim_inputs(spark, sf_dir)
+    return W.similar_candidates(docs, W.context_anchors(W.word_contexts(docs, words), _stats(docs)))
+
+
+@register("similar_first")
+def q_similar_first(spark, sf_dir):
+    docs, words = _sim_inputs(spark, sf_dir)
+    return W.similar_words(docs, words, _stats(docs), mode="first")
+
+
+@register("similar_all")
+def q_similar_all(spark, sf_dir):
+    docs, words = _sim_inputs(spark, sf_dir)
+    return W.similar_words(docs, words, mode="all")
+
+
+@register("similar_report")
+def q_similar_report(spark, sf_dir):
+    docs, words = _sim_inputs(spark, sf_dir)
+    return W.similar_report(W.similar_words(docs, words, _stats(docs), mode="first"))

@@ -9,7 +9,7 @@ generated from the Spark plans.
 from __future__ import annotations
 
 from inkwell.sources.workloads import (DELTA_RULES, LOG_MIN_FREQ, LOG_MOD, LOG_MULT,
-                                       LOOKUP_PHRASES, TOMBSTONE_MOD, TOMBSTONE_REM, WORKLOAD)
+                                       LOOKUP_PHRASES, SIMILAR_WORDS, TOMBSTONE_MOD, TOMBSTONE_REM, WORKLOAD)
 
 
 def _sql_str(s: str) -> str:
@@ -255,3 +255,65 @@ SELECT l.doc_id, coalesce(CASE WHEN len(string_split(d.text, chr(10))) > 4
                                THEN array_to_string(list_slice(string_split(d.text, chr(10)), 1, 4), chr(10))
                                ELSE regexp_replace(d.text, '\n$', '') END, '') AS title
 FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id"""
+
+
+# --- step 7: similar words ---------------------------------------------------
+SIM_WORDS = "sim_words(word) AS (VALUES " + ", ".join(f"({_sql_str(w)})" for w in SIMILAR_WORDS) + ")"
+NEIGH = """
+neigh AS (
+  SELECT doc_id, pos, wpos, term,
+         lag(term, 2) OVER w AS prev2, lag(term, 1) OVER w AS prev1,
+         lead(term, 1) OVER w AS next1, lead(term, 2) OVER w AS next2
+  FROM postings WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+),
+firsts AS (
+  SELECT n.* FROM neigh n
+  JOIN (SELECT doc_id, term, min(pos) AS pos FROM postings GROUP BY doc_id, term) f
+    ON n.doc_id = f.doc_id AND n.pos = f.pos
+),
+ctx AS (
+  SELECT DISTINCT f.term AS word, f.prev1 AS pre, f.next1 AS post
+  FROM firsts f JOIN sim_words s ON f.term = s.word
+  WHERE f.prev1 IS NOT NULL AND f.next1 IS NOT NULL
+),
+cf AS (SELECT term, count(*) AS cf FROM postings GROUP BY term),
+anchors AS (
+  SELECT word, pre, post,
+         CASE WHEN coalesce(a.cf, 0) > 0 AND length(pre) > length(post) THEN pre ELSE post END AS anchor,
+         CASE WHEN coalesce(a.cf, 0) > 0 AND length(pre) > length(post) THEN 'pre' ELSE 'post' END AS side
+  FROM ctx LEFT JOIN cf a ON a.term = ctx.pre LEFT JOIN cf b ON b.term = ctx.post
+  WHERE coalesce(a.cf, 0) > 0 OR coalesce(b.cf, 0) > 0
+),
+cands AS (
+  SELECT a.word, a.pre, a.post, a.side, f.doc_id, f.next1 AS candidate
+  FROM anchors a JOIN firsts f ON a.side = 'pre' AND f.term = a.anchor AND f.next2 = a.post
+  UNION ALL
+  SELECT a.word, a.pre, a.post, a.side, f.doc_id, f.prev1 AS candidate
+  FROM anchors a JOIN firsts f ON a.side = 'post' AND f.term = a.anchor AND f.prev2 = a.pre
+),
+similar_first AS (
+  SELECT word, candidate, count(*) AS n FROM cands WHERE candidate <> word GROUP BY word, candidate
+)"""
+SIM = _with(tokenize_cte(), SIM_WORDS, NEIGH)
+ORACLES["neighbours"] = SIM + "\nSELECT doc_id, pos, wpos, term, prev2, prev1, next1, next2 FROM neigh"
+ORACLES["first_occurrence"] = _with(tokenize_cte()) + """
+SELECT doc_id, term, min(pos) AS pos, min(wpos) AS wpos FROM postings GROUP BY doc_id, term"""
+ORACLES["word_contexts"] = SIM + "\nSELECT word, pre, post FROM ctx"
+ORACLES["context_anchors"] = SIM + "\nSELECT word, pre, post, anchor, side FROM anchors"
+ORACLES["similar_candidates"] = SIM + """
+SELECT word, pre, post, side, doc_id, candidate FROM cands WHERE candidate <> word"""
+ORACLES["similar_first"] = SIM + "\nSELECT word, candidate, n FROM similar_first"
+ORACLES["similar_all"] = SIM + """,
+ctx_all AS (
+  SELECT DISTINCT n.term AS word, n.prev1 AS pre, n.next1 AS post
+  FROM neigh n JOIN sim_words s ON n.term = s.word
+  WHERE n.prev1 IS NOT NULL AND n.next1 IS NOT NULL
+)
+SELECT c.word, n.term AS candidate, count(*) AS n
+FROM neigh n JOIN ctx_all c ON n.prev1 = c.pre AND n.next1 = c.post
+WHERE n.term <> c.word GROUP BY c.word, n.term"""
+ORACLES["similar_report"] = SIM + """
+SELECT word, candidate, n, rank FROM (
+  SELECT word, candidate, n,
+         CAST(row_number() OVER (PARTITION BY word ORDER BY n DESC, candidate) AS INTEGER) AS rank
+  FROM similar_first WHERE regexp_matches(candidate, '[^0-9]')) WHERE rank <= 10"""

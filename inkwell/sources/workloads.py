@@ -58,6 +58,14 @@ def workload(spark: SparkSession) -> DataFrame:
 LOOKUP_PHRASES = ["the", "of the", "was"]
 
 
+# Words whose similar-context words are reported.
+SIMILAR_WORDS = ["was", "the", "it"]
+
+
+def similar_words_input(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(w,) for w in SIMILAR_WORDS], "word string")
+
+
 def benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(phrase_id, phrase): benchmark passages, each looked up as a phrase."""
     return read_table(spark, sf_dir, "benchmark").select(
