@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from inkwell.functions import text as T
 from inkwell.operators import postings as P
 from inkwell.operators import search as S
+from inkwell.operators import live as L
 from inkwell.operators import similar as W
+from inkwell.session import work_dir
 from inkwell.operators import stats as A
 from inkwell.sources import workloads as WL
 
@@ -245,3 +247,50 @@ def q_similar_all(spark, sf_dir):
 def q_similar_report(spark, sf_dir):
     docs, words = _sim_inputs(spark, sf_dir)
     return W.similar_report(W.similar_words(docs, words, _stats(docs), mode="first"))
+
+
+# --- step 6: live indexing (batch) -------------------------------------------
+def _live_inputs(spark, sf_dir):
+    docs = WL.documents(spark, sf_dir)
+    return P.build_index(docs), WL.delta_docs(docs)
+
+
+@register("latest_delta")
+def q_latest_delta(spark, sf_dir):
+    return L.latest_delta(_live_inputs(spark, sf_dir)[1])
+
+
+@register("duplicate_delta_docs")
+def q_duplicate_delta_docs(spark, sf_dir):
+    return L.duplicate_delta_docs(_live_inputs(spark, sf_dir)[1])
+
+
+@register("index_size_delta")
+def q_index_size_delta(spark, sf_dir):
+    return P.delta_index_size(L.delta_postings(_live_inputs(spark, sf_dir)[1]))
+
+
+@register("remove_docs")
+def q_remove_docs(spark, sf_dir):
+    main, _ = _live_inputs(spark, sf_dir)
+    kept = L.remove_docs(main, WL.tombstones(main.docs))
+    return P.term_counts(kept.postings).groupBy("term").agg(
+        F.count("*").alias("df"), F.sum("tf").alias("cf"))
+
+
+@register("live_search")
+def q_live_search(spark, sf_dir):
+    main, delta = _live_inputs(spark, sf_dir)
+    return L.live_search(main, delta, WL.workload(spark))
+
+
+@register("needs_merge")
+def q_needs_merge(spark, sf_dir):
+    return L.needs_merge(_live_inputs(spark, sf_dir)[1])
+
+
+@register("merged_search")
+def q_merged_search(spark, sf_dir):
+    main, delta = _live_inputs(spark, sf_dir)
+    merged = L.merge_delta(main, delta, work_dir(spark, "merge"), version=2)
+    return S.search(merged, WL.workload(spark))

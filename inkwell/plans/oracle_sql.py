@@ -317,3 +317,43 @@ SELECT word, candidate, n, rank FROM (
   SELECT word, candidate, n,
          CAST(row_number() OVER (PARTITION BY word ORDER BY n DESC, candidate) AS INTEGER) AS rank
   FROM similar_first WHERE regexp_matches(candidate, '[^0-9]')) WHERE rank <= 10"""
+
+
+# --- step 6: live indexing ---------------------------------------------------
+def _delta_rules_sql() -> str:
+    parts = []
+    for seq, mod, rem, shift, new_off in DELTA_RULES:
+        parts.append(
+            f"SELECT s.doc_id + {new_off} AS doc_id, t.text, {seq} AS index_seq FROM documents s "
+            f"JOIN documents t ON t.doc_id = s.doc_id + {shift} WHERE s.doc_id % {mod} = {rem}")
+    return " UNION ALL ".join(parts)
+
+
+DELTA = f"""
+delta_raw AS ({_delta_rules_sql()}),
+delta_docs AS (SELECT doc_id, text, index_seq, 'docs/' || CAST(doc_id AS VARCHAR) || '.xml' AS path FROM delta_raw),
+latest AS (
+  SELECT doc_id, arg_max(text, index_seq) AS text, max(index_seq) AS index_seq,
+         arg_max(path, index_seq) AS path
+  FROM delta_docs GROUP BY doc_id
+),
+live_docs AS (
+  SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM latest)
+  UNION ALL SELECT doc_id, text FROM latest
+)"""
+ORACLES["latest_delta"] = _with(DELTA) + "\nSELECT doc_id, text, index_seq, path FROM latest"
+ORACLES["duplicate_delta_docs"] = _with(DELTA) + """
+SELECT doc_id, count(DISTINCT index_seq) AS n_deltas FROM delta_docs GROUP BY doc_id HAVING count(DISTINCT index_seq) > 1"""
+ORACLES["index_size_delta"] = _with(DELTA, tokenize_cte("latest", "dpost")) + """
+SELECT l.index_seq, count(*) AS n_postings, count(DISTINCT p.term) AS n_terms, count(DISTINCT p.doc_id) AS n_docs,
+       CAST(sum(octet_length(encode(p.term)) + 16) AS BIGINT) AS logical_bytes
+FROM dpost p JOIN latest l ON p.doc_id = l.doc_id GROUP BY ROLLUP (l.index_seq)"""
+ORACLES["remove_docs"] = _with(tokenize_cte()) + f"""
+SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM postings
+WHERE doc_id % {TOMBSTONE_MOD} <> {TOMBSTONE_REM} GROUP BY term"""
+ORACLES["needs_merge"] = _with(DELTA) + """
+SELECT count(DISTINCT path) AS n_files, 10 AS threshold, count(DISTINCT path) > 10 AS needs_merge FROM delta_docs"""
+LIVE_SEARCH = _with(DELTA, tokenize_cte("live_docs", "postings"), WORKLOAD_CTE, query_terms_cte(),
+                    search_ctes(docs="live_docs")) + "\nSELECT query_id, doc_id, score, location FROM results"
+ORACLES["live_search"] = LIVE_SEARCH
+ORACLES["merged_search"] = LIVE_SEARCH
