@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from inkwell.functions import text as T
 from inkwell.operators import postings as P
 from inkwell.operators import search as S
+from inkwell.functions import distance as D
+from inkwell.operators import fuzzy as E
 from inkwell.operators import live as L
+from inkwell.operators import spelling as SP
 from inkwell.operators import similar as W
 from inkwell.session import work_dir
 from inkwell.operators import stats as A
@@ -294,3 +297,66 @@ def q_merged_search(spark, sf_dir):
     main, delta = _live_inputs(spark, sf_dir)
     merged = L.merge_delta(main, delta, work_dir(spark, "merge"), version=2)
     return S.search(merged, WL.workload(spark))
+
+
+# --- step 8/9: edit distance and spelling suggestions ------------------------
+def _log_inputs(spark, sf_dir):
+    docs = WL.documents(spark, sf_dir)
+    stats = P.term_stats(P.build_postings(docs), docs)
+    events = WL.read_table(spark, sf_dir, "events")
+    return WL.query_log(events, stats), stats
+
+
+def _pairs(spark, sf_dir):
+    log, stats = _log_inputs(spark, sf_dir)
+    prev = SP.previous_query(log)
+    return prev.filter(F.col("prev").isNotNull() & SP.is_single_word("query")), stats
+
+
+@register("previous_query")
+def q_previous_query(spark, sf_dir):
+    return SP.previous_query(_log_inputs(spark, sf_dir)[0])
+
+
+@register("dominates")
+def q_dominates(spark, sf_dir):
+    pairs, stats = _pairs(spark, sf_dir)
+    return SP.dominates(pairs, stats)
+
+
+@register("mine_corrections")
+def q_mine_corrections(spark, sf_dir):
+    return SP.mine_corrections(*_log_inputs(spark, sf_dir))
+
+
+@register("latest_corrections")
+def q_latest_corrections(spark, sf_dir):
+    return SP.latest_corrections(SP.mine_corrections(*_log_inputs(spark, sf_dir)))
+
+
+@register("suggest")
+def q_suggest(spark, sf_dir):
+    return SP.suggest(*_log_inputs(spark, sf_dir))
+
+
+@register("edit_distance")
+def q_edit_distance(spark, sf_dir):
+    pairs, _ = _pairs(spark, sf_dir)
+    return pairs.select("session_id", "ts", "prev", "query",
+                        D.edit_distance("prev", "query").alias("distance"))
+
+
+@register("edit_distance_weighted")
+def q_edit_distance_weighted(spark, sf_dir):
+    pairs, _ = _pairs(spark, sf_dir)
+    distinct = pairs.select("prev", "query").distinct()
+    scored = distinct.withColumn(
+        "distance", D.weighted_edit_distance("prev", "query", costs=(0, 1, 2), hyphen="gap"))
+    return pairs.select("session_id", "ts", "prev", "query").join(scored, ["prev", "query"])
+
+
+@register("fuzzy_match")
+def q_fuzzy_match(spark, sf_dir):
+    log, stats = _log_inputs(spark, sf_dir)
+    vocab = stats.filter(F.col("term").rlike("^[a-z]+$")).select("term")
+    return E.fuzzy_match(log.select(F.col("query").alias("word")), vocab, max_distance=2)

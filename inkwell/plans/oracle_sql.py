@@ -357,3 +357,56 @@ LIVE_SEARCH = _with(DELTA, tokenize_cte("live_docs", "postings"), WORKLOAD_CTE,
                     search_ctes(docs="live_docs")) + "\nSELECT query_id, doc_id, score, location FROM results"
 ORACLES["live_search"] = LIVE_SEARCH
 ORACLES["merged_search"] = LIVE_SEARCH
+
+
+# --- step 8/9: spelling and distance -----------------------------------------
+def _norm(x: str) -> str:
+    return f"regexp_replace(lower({x}), {TERM_RE}, '', 'g')"
+
+
+SINGLE = "(query NOT LIKE '% %' AND NOT starts_with(query, '!'))"
+QLOG = f"""
+cf AS (SELECT term, count(*) AS cf FROM postings GROUP BY term),
+vocab AS (
+  SELECT term AS word, row_number() OVER (ORDER BY cf DESC, term) - 1 AS rank
+  FROM cf WHERE regexp_matches(term, '^[a-z]{{2,}}$') AND cf >= {LOG_MIN_FREQ}
+),
+qlog AS (
+  SELECT e.user_id AS session_id, e.event_id AS ts, v.word AS query
+  FROM events e JOIN vocab v ON v.rank = (e.event_id * {LOG_MULT}) % {LOG_MOD}
+),
+prevq AS (
+  SELECT session_id, ts, query,
+         last_value(CASE WHEN {SINGLE} THEN query END IGNORE NULLS) OVER (
+           PARTITION BY session_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
+  FROM qlog
+),
+pairs AS (SELECT * FROM prevq WHERE prev IS NOT NULL AND {SINGLE}),
+dom AS (
+  SELECT p.session_id, p.ts, p.query, p.prev, coalesce(a.cf, 0) AS prev_cf, coalesce(b.cf, 0) AS cur_cf,
+         (p.prev <> '' AND coalesce(b.cf, 0) > 0 AND coalesce(a.cf, 0) <= 0.5 * coalesce(b.cf, 0)) AS dominates
+  FROM pairs p LEFT JOIN cf a ON a.term = {_norm('p.prev')} LEFT JOIN cf b ON b.term = {_norm('p.query')}
+),
+corr AS (
+  SELECT session_id, ts, prev AS word, query AS correction, CAST(levenshtein(prev, query) AS INTEGER) AS distance
+  FROM dom WHERE dominates AND levenshtein(prev, query) <= 3
+)"""
+SPELL = _with(tokenize_cte(), QLOG)
+ORACLES["previous_query"] = SPELL + "\nSELECT session_id, ts, query, prev FROM prevq"
+ORACLES["dominates"] = SPELL + "\nSELECT session_id, ts, query, prev, prev_cf, cur_cf, dominates FROM dom"
+ORACLES["mine_corrections"] = SPELL + "\nSELECT session_id, ts, word, correction, distance FROM corr"
+ORACLES["latest_corrections"] = SPELL + """
+SELECT session_id, word, arg_max(correction, ts) AS correction, max(ts) AS ts FROM corr GROUP BY session_id, word"""
+ORACLES["suggest"] = SPELL + """
+SELECT * FROM (
+  SELECT q.session_id, q.ts, q.query,
+         (SELECT arg_max(c.correction, c.ts) FROM corr c
+          WHERE c.session_id = q.session_id AND c.word = q.query AND c.ts <= q.ts) AS suggestion
+  FROM qlog q) WHERE suggestion IS NOT NULL"""
+ORACLES["edit_distance"] = SPELL + """
+SELECT session_id, ts, prev, query, CAST(levenshtein(prev, query) AS INTEGER) AS distance FROM pairs"""
+ORACLES["fuzzy_match"] = SPELL + """
+SELECT w.word, v.term AS match, CAST(levenshtein(w.word, v.term) AS INTEGER) AS distance
+FROM (SELECT DISTINCT query AS word FROM qlog) w
+JOIN (SELECT term FROM cf WHERE regexp_matches(term, '^[a-z]+$')) v
+  ON abs(length(w.word) - length(v.term)) <= 2 AND levenshtein(w.word, v.term) <= 2"""
