@@ -44,18 +44,33 @@ def normalize_term(word) -> Column:
     return F.regexp_replace(F.lower(_col(word)), TERM_EDGE_PATTERN, "")
 
 
+# Word edges on text whose whitespace runs are single spaces: a run of
+# non-letter/digit characters at the start or at the end of a word.
+_WORD_EDGES = r"(?<![^ ])[^\p{L}\p{N} ]+|[^\p{L}\p{N} ]+(?![^ ])"
+
+
+def term_array(text) -> Column:
+    """Terms of a text aligned with its whitespace split ('' where a word has
+    no letter or digit).  Whole-text regular expressions (one pass each)
+    instead of one expression per word."""
+    folded = F.regexp_replace(fold_stops(text), r"\s+$", "")
+    spaced = F.regexp_replace(folded, r"\s+", " ")
+    stripped = F.regexp_replace(F.lower(spaced), _WORD_EDGES, "")
+    return F.when(folded == "", F.array().cast("array<string>")).otherwise(
+        F.split(stripped, " "))
+
+
 def term_positions(text) -> Column:
-    """array<struct<wpos:int, term:string>> of the non-empty terms of a text.
+    """array<struct<term:string, wpos:int>> of the non-empty terms of a text.
 
     ``wpos`` is the offset in the whitespace split (used for snippets); the
     array index of an element is its dense term position ``pos`` (used for
     phrase adjacency).  Computed per row, so no window or shuffle is needed
     to number positions.
     """
-    words = split_words(fold_stops(text))
-    tagged = F.transform(
-        words, lambda w, i: F.struct(i.cast("int").alias("wpos"),
-                                     normalize_term(w).alias("term")))
+    terms = term_array(text)
+    tagged = F.arrays_zip(terms.alias("term"),
+                          F.sequence(F.lit(0), F.size(terms) - 1).alias("wpos"))
     return F.filter(tagged, lambda x: x["term"] != "")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import normalize_term, snippet
-from inkwell.operators.postings import Index
+from inkwell.operators.postings import Index, term_bucket
 from inkwell.plans.joins import bounded_broadcast, fan_out
 from inkwell.plans.ranking import distributed_row_number
 
@@ -60,10 +60,18 @@ def explode_query_terms(queries: DataFrame, query_col: str = "query") -> DataFra
 
 
 def term_hits(postings: DataFrame, query_terms: DataFrame) -> DataFrame:
-    """Q2: postings of every query word, tagged with the query term."""
-    qt = bounded_broadcast(query_terms.select(
-        "query_id", "term_no", "negated", "n_words", "offset", "word"))
-    return postings.join(qt, postings["term"] == qt["word"]).select(
+    """Q2: postings of every query word, tagged with the query term.
+
+    A stored index is partitioned by term bucket; the join then also matches
+    the bucket so dynamic partition pruning reads only the query words'
+    buckets."""
+    qt = query_terms.select("query_id", "term_no", "negated", "n_words", "offset", "word")
+    cond = postings["term"] == F.col("word")
+    if "term_bucket" in postings.columns:
+        qt = qt.withColumn("q_bucket", term_bucket("word"))
+        cond = cond & (postings["term_bucket"] == F.col("q_bucket"))
+    qt = bounded_broadcast(qt)
+    return postings.join(qt, cond).select(
         "query_id", "term_no", "negated", "n_words", "doc_id",
         (F.col("pos") - F.col("offset")).alias("start"), "wpos")
 
@@ -71,24 +79,31 @@ def term_hits(postings: DataFrame, query_terms: DataFrame) -> DataFrame:
 def phrase_hits(postings: DataFrame, query_terms: DataFrame) -> DataFrame:
     """Q3: occurrences of every query term: (query, term, doc, start, start_wpos).
 
-    Single words pass straight through; phrases of n words keep the start
-    positions where all n words were found (overlaps and repeated words
-    included).  The grouping key contains the start position, so a hot
-    document or word does not become one hot group.
+    Relational division: hits grouped by (query, term, doc, start) with one
+    hit per phrase word form an occurrence (single words trivially; overlaps
+    and repeated words included).  On doc-partitioned postings the grouping
+    needs no shuffle; the key contains the start position, so a hot document
+    or word is never one hot group.
     """
-    hits = term_hits(postings, query_terms)
-    single = hits.filter(F.col("n_words") == 1).select(
-        "query_id", "term_no", "negated", "n_words", "doc_id", "start",
-        F.col("wpos").alias("start_wpos"))
-    multi = (hits.filter(F.col("n_words") > 1)
-             .groupBy("query_id", "term_no", "doc_id", "start")
-             .agg(F.count("*").alias("k"), F.first("n_words").alias("n_words"),
-                  F.first("negated").alias("negated"),
-                  F.min("wpos").alias("start_wpos"))
-             .filter(F.col("k") == F.col("n_words"))
-             .select("query_id", "term_no", "negated", "n_words", "doc_id",
-                     "start", "start_wpos"))
-    return single.unionByName(multi)
+    return (term_hits(postings, query_terms)
+            .groupBy("query_id", "term_no", "doc_id", "start")
+            .agg(F.count("*").alias("k"), F.first("n_words").alias("n_words"),
+                 F.first("negated").alias("negated"), F.min("wpos").alias("start_wpos"))
+            .filter(F.col("k") == F.col("n_words"))
+            .select("query_id", "term_no", "negated", "n_words", "doc_id", "start", "start_wpos"))
+
+
+_WPOS_BITS = 32
+
+
+def _first_key(term_no, wpos):
+    """(term_no, wpos) packed in one bigint: its minimum is the first
+    position of the first hitting term (a hash aggregate, unlike min(struct))."""
+    return F.shiftleft(F.col(term_no).cast("bigint"), _WPOS_BITS) + F.col(wpos).cast("bigint")
+
+
+def _location(first_key):
+    return (F.col(first_key).bitwiseAND(F.lit((1 << _WPOS_BITS) - 1)) + 1).cast("int")
 
 
 def _scored(occ: DataFrame) -> DataFrame:
@@ -96,7 +111,7 @@ def _scored(occ: DataFrame) -> DataFrame:
     pos = ~F.col("negated")
     return occ.groupBy("query_id", "doc_id").agg(
         F.sum(F.when(pos, F.col("n_words"))).cast("bigint").alias("score"),
-        F.min(F.when(pos, F.struct("term_no", "start_wpos"))).alias("first"),
+        F.min(F.when(pos, _first_key("term_no", "start_wpos"))).alias("first_key"),
         F.max(F.col("negated").cast("int")).alias("neg"))
 
 
@@ -116,7 +131,7 @@ def search_location(index: Index, query_terms: DataFrame) -> DataFrame:
     """Q6: 1-based word location of the first hitting term's first occurrence."""
     s = _scored(phrase_hits(index.postings, query_terms))
     return s.filter(F.col("score").isNotNull()).select(
-        "query_id", "doc_id", (F.col("first.start_wpos") + 1).alias("location"))
+        "query_id", "doc_id", _location("first_key").alias("location"))
 
 
 def docs_with_any(index: Index, query_terms: DataFrame) -> DataFrame:
@@ -149,14 +164,35 @@ def negation_only(index: Index, queries: DataFrame, query_terms: DataFrame,
 
 
 def search(index: Index, queries: DataFrame, query_terms: DataFrame | None = None) -> DataFrame:
-    """Q11: results(query_id, doc_id, score, location) for a query workload."""
+    """Q11: results(query_id, doc_id, score, location) for a query workload.
+
+    One aggregation by (query, doc) over the term occurrences and, for
+    queries without positive terms, one base row per document: score and
+    first location come from positive occurrences, any negated occurrence
+    removes the document, and base rows turn into score 1, location 0."""
     if query_terms is None:
         query_terms = explode_query_terms(queries)
-    scored = _scored(phrase_hits(index.postings, query_terms))
-    positive = scored.filter(F.col("score").isNotNull() & (F.col("neg") == 0)).select(
-        "query_id", "doc_id", "score",
-        (F.col("first.start_wpos") + 1).alias("location"))
-    return positive.unionByName(negation_only(index, queries, query_terms, scored))
+    occ = phrase_hits(index.postings, query_terms).select(
+        "query_id", "doc_id", "negated", "n_words",
+        F.when(~F.col("negated"), _first_key("term_no", "start_wpos")).alias("first_key"),
+        F.lit(0).alias("base"))
+    ids = _negation_only_ids(queries, query_terms)
+    if ids:
+        base = fan_out(index.all_docs(), "query_id", ids).select(
+            F.col("query_id").cast("bigint").alias("query_id"), "doc_id",
+            F.lit(False).alias("negated"), F.lit(None).cast("int").alias("n_words"),
+            F.lit(None).cast("bigint").alias("first_key"), F.lit(1).alias("base"))
+        occ = occ.unionByName(base)
+    agg = occ.groupBy("query_id", "doc_id").agg(
+        F.sum(F.when(~F.col("negated"), F.col("n_words"))).cast("bigint").alias("score"),
+        F.min("first_key").alias("first_key"),
+        F.max(F.col("negated").cast("int")).alias("neg"),
+        F.max("base").alias("base"))
+    hit = F.col("score").isNotNull()
+    return agg.filter((F.col("neg") == 0) & (hit | (F.col("base") == 1))).select(
+        "query_id", "doc_id",
+        F.when(hit, F.col("score")).otherwise(F.lit(1).cast("bigint")).alias("score"),
+        F.when(hit, _location("first_key")).otherwise(F.lit(0)).alias("location"))
 
 
 def rank(results: DataFrame) -> DataFrame:
