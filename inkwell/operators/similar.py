@@ -7,9 +7,11 @@ term); at the anchor's first occurrence in every document the term between
 it and the other context term is a candidate.  Candidates are counted.
 ``mode="all"`` uses every occurrence instead of first occurrences.
 
-Neighbour terms and first occurrences are computed inside each document's
-term array (index arithmetic and a struct sort), so these tables come out of
-a narrow map over the corpus: no shuffle by document, no window.
+Neighbour terms come from lag/lead over each document's postings, which
+inherit the corpus' doc_id partitioning (a sort, no shuffle); first
+occurrences come from a struct sort inside each document's term array (a
+narrow map).  ``mode="all"`` pre-aggregates trigram counts map-side and
+reads the word's contexts off the same aggregate.
 """
 
 from __future__ import annotations
@@ -55,10 +57,17 @@ def _context_arrays(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def neighbours(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Every term position with the terms 1 and 2 before and after."""
-    return _context_arrays(docs, text_col).select(
-        "doc_id", F.inline("ctx")).select(
-        "doc_id", "pos", "wpos", "term", "prev2", "prev1", "next1", "next2")
+    """Every term position with the terms 1 and 2 before and after.
+
+    lag/lead over (doc_id order by pos): postings inherit the documents'
+    doc_id hash partitioning, so the window needs a sort but no shuffle."""
+    from inkwell.operators.postings import build_postings
+    w = Window.partitionBy("doc_id").orderBy("pos")
+    t = F.col("term")
+    return build_postings(docs, text_col).select(
+        "doc_id", "pos", "wpos", "term",
+        F.lag(t, 2).over(w).alias("prev2"), F.lag(t, 1).over(w).alias("prev1"),
+        F.lead(t, 1).over(w).alias("next1"), F.lead(t, 2).over(w).alias("next2"))
 
 
 def first_occurrence_contexts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -134,11 +143,17 @@ def similar_words(docs: DataFrame, words: DataFrame, stats: DataFrame | None = N
         return cand.groupBy("word", "candidate").agg(F.count("*").alias("n"))
     if mode != "all":
         raise ValueError(f"unknown mode {mode!r}")
-    ctx = bounded_broadcast(word_contexts(docs, words, "all"))
-    tri = neighbours(docs).select(F.col("prev1").alias("pre"), F.col("term").alias("candidate"),
-                                  F.col("next1").alias("post"))
-    hits = tri.join(ctx, ["pre", "post"]).filter(F.col("candidate") != F.col("word"))
-    return hits.groupBy("word", "candidate").agg(F.count("*").alias("n"))
+    # Trigram counts, combined map-side; the word's contexts are read off the
+    # same aggregate (one pass over the corpus, the exchange is reused).  The
+    # context side is left to AQE: broadcast at run time when it is small,
+    # otherwise a sort-merge join with skew splitting.
+    tri = neighbours(docs).filter(F.col("prev1").isNotNull() & F.col("next1").isNotNull())
+    counts = tri.groupBy(F.col("prev1").alias("pre"), F.col("next1").alias("post"),
+                         F.col("term").alias("candidate")).agg(F.count("*").alias("n"))
+    w = bounded_broadcast(words.select(F.col("word").alias("candidate")).distinct())
+    ctx = counts.join(w, "candidate").select(F.col("candidate").alias("word"), "pre", "post")
+    hits = counts.join(ctx, ["pre", "post"]).filter(F.col("candidate") != F.col("word"))
+    return hits.groupBy("word", "candidate").agg(F.sum("n").alias("n"))
 
 
 def similar_report(similar: DataFrame, page_no: int = 1, size: int = PAGE_SIZE) -> DataFrame:
