@@ -15,6 +15,9 @@ from inkwell.functions import text as T
 from inkwell.operators import postings as P
 from inkwell.operators import search as S
 from inkwell.functions import distance as D
+from inkwell.functions import signatures as SG
+from inkwell.operators import changes as C
+from inkwell.sources import corpus as CO
 from inkwell.operators import fuzzy as E
 from inkwell.operators import live as L
 from inkwell.operators import spelling as SP
@@ -360,3 +363,132 @@ def q_fuzzy_match(spark, sf_dir):
     log, stats = _log_inputs(spark, sf_dir)
     vocab = stats.filter(F.col("term").rlike("^[a-z]+$")).select("term")
     return E.fuzzy_match(log.select(F.col("query").alias("word")), vocab, max_distance=2)
+
+
+# --- step 5: corpus sources and sinks ---------------------------------------
+def _xml_records(spark, sf_dir):
+    docs = WL.spread_by_doc(WL.read_table(spark, sf_dir, "documents"))
+    path = work_dir(spark, "xml")
+    CO.write_xml_docs(CO.docs_as_xml_records(docs), path)
+    return CO.read_xml_docs(spark, path)
+
+
+@register("xml_docs")
+def q_xml_docs(spark, sf_dir):
+    return _xml_records(spark, sf_dir).select(*CO.DOC_FIELDS)
+
+
+@register("docno_normalize")
+def q_docno_normalize(spark, sf_dir):
+    return _xml_records(spark, sf_dir).select("DOCNO", T.normalize_docno("DOCNO").alias("doc_id"))
+
+
+@register("compose_body")
+def q_compose_body(spark, sf_dir):
+    r = _xml_records(spark, sf_dir)
+    return r.select(T.normalize_docno("DOCNO").alias("doc_id"),
+                    T.compose_body("TITLE", "TEXT", "AUTHOR").alias("body"))
+
+
+@register("build_docs")
+def q_build_docs(spark, sf_dir):
+    return CO.build_docs(_xml_records(spark, sf_dir), ["file_mtime", "file_path"])
+
+
+@register("write_docs")
+def q_write_docs(spark, sf_dir):
+    path = work_dir(spark, "docstore")
+    CO.write_docs(CO.build_docs(_xml_records(spark, sf_dir), ["file_mtime", "file_path"]), path)
+    return spark.read.parquet(path)
+
+
+@register("build_index")
+def q_build_index(spark, sf_dir):
+    path = work_dir(spark, "index")
+    P.write_index(_index(spark, sf_dir), path)
+    return P.read_index(spark, path).postings.select("doc_id", "pos", "wpos", "term")
+
+
+@register("parse_changes")
+def q_parse_changes(spark, sf_dir):
+    delta = L.latest_delta(WL.delta_docs(WL.documents(spark, sf_dir)))
+    records = delta.select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("DOCNO"),
+        F.concat(F.lit("T "), F.col("doc_id").cast("string")).alias("TITLE"),
+        F.lit("").alias("AUTHOR"), F.lit("").alias("BIBLIO"), F.col("text").alias("TEXT"))
+    rows = records.select(CO.xml_text(records).alias("content"))
+    return CO.build_docs(CO.parse_xml_column(rows))
+
+
+# --- step 10: change detection -----------------------------------------------
+def _files(spark, sf_dir):
+    return WL.doc_files(WL.documents(spark, sf_dir))
+
+
+@register("signatures_md5")
+def q_signatures_md5(spark, sf_dir):
+    return C.content_signatures(_files(spark, sf_dir), "MD5")
+
+
+@register("signatures_sha256")
+def q_signatures_sha256(spark, sf_dir):
+    return C.content_signatures(_files(spark, sf_dir), "SHA-256")
+
+
+@register("signatures_checksum")
+def q_signatures_checksum(spark, sf_dir):
+    return C.content_signatures(_files(spark, sf_dir), "checksum")
+
+
+@register("signatures_mtime")
+def q_signatures_mtime(spark, sf_dir):
+    path = work_dir(spark, "files")
+    WL.documents(spark, sf_dir).select("text").write.mode("overwrite").text(path)
+    return C.file_signatures(spark, path, "mtime", glob="*.txt")
+
+
+@register("watch_set")
+def q_watch_set(spark, sf_dir):
+    docs = WL.spread_by_doc(WL.read_table(spark, sf_dir, "documents"))
+    methods = F.create_map(*[F.lit(x) for pair in WL.LANG_METHODS for x in pair])
+    files = WL.doc_files(docs).join(
+        docs.select(F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
+                    methods[F.col("lang")].alias("method")), "path")
+    ws = C.watch_set(files).join(files.select("path", "content"), "path")
+    return C.content_signatures(ws)
+
+
+def _snapshots(spark, sf_dir):
+    docs = WL.documents(spark, sf_dir)
+    old = C.content_signatures(WL.doc_files(docs), "MD5")
+    new_files = WL.live_files(docs)
+    return old, C.content_signatures(new_files, "MD5"), new_files
+
+
+@register("signature_diff")
+def q_signature_diff(spark, sf_dir):
+    old, new, _ = _snapshots(spark, sf_dir)
+    return C.diff_signatures(old, new)
+
+
+@register("commit_baseline")
+def q_commit_baseline(spark, sf_dir):
+    _, new, _ = _snapshots(spark, sf_dir)
+    return C.commit_baseline(new, work_dir(spark, "baseline"), version=2)
+
+
+@register("signature_scalar")
+def q_signature_scalar(spark, sf_dir):
+    sigs = C.content_signatures(_files(spark, sf_dir), "MD5")
+    s = sigs.withColumn("scalar", SG.to_scalar("method", "path", "signature"))
+    m, p, g = SG.from_scalar("scalar")
+    return s.select("path", "method", "signature", "scalar", m.alias("back_method"),
+                    p.alias("back_path"), g.alias("back_signature"))
+
+
+@register("publish_changes")
+def q_publish_changes(spark, sf_dir):
+    old, new, new_files = _snapshots(spark, sf_dir)
+    log = work_dir(spark, "changelog")
+    C.publish_changes(C.diff_signatures(old, new), new_files, log, batch=1)
+    return C.read_change_log(spark, log)

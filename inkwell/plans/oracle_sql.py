@@ -9,7 +9,7 @@ generated from the Spark plans.
 from __future__ import annotations
 
 from inkwell.sources.workloads import (DELTA_RULES, LOG_MIN_FREQ, LOG_MOD, LOG_MULT,
-                                       LOOKUP_PHRASES, SIMILAR_WORDS, TOMBSTONE_MOD, TOMBSTONE_REM, WORKLOAD)
+                                       LANG_METHODS, LOOKUP_PHRASES, SIMILAR_WORDS, TOMBSTONE_MOD, TOMBSTONE_REM, WORKLOAD)
 
 
 def _sql_str(s: str) -> str:
@@ -410,3 +410,81 @@ SELECT w.word, v.term AS match, CAST(levenshtein(w.word, v.term) AS INTEGER) AS
 FROM (SELECT DISTINCT query AS word FROM qlog) w
 JOIN (SELECT term FROM cf WHERE regexp_matches(term, '^[a-z]+$')) v
   ON abs(length(w.word) - length(v.term)) <= 2 AND levenshtein(w.word, v.term) <= 2"""
+
+
+# --- step 5: corpus ----------------------------------------------------------
+XML = """
+xml AS (
+  SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS DOCNO, 'T ' || CAST(doc_id AS VARCHAR) AS TITLE,
+         coalesce(source, '') AS AUTHOR, '' AS BIBLIO, text AS TEXT, doc_id FROM documents
+),
+built AS (
+  SELECT doc_id, TITLE AS title, AUTHOR AS author,
+         TITLE || chr(10) || TEXT || chr(10) || AUTHOR AS text FROM xml
+)"""
+DOC_LEN = """CAST(CASE WHEN regexp_replace(regexp_replace({t}, '[.,]', '', 'g'), '\\s+$', '') = '' THEN 0
+  ELSE len(string_split_regex(regexp_replace(regexp_replace({t}, '[.,]', '', 'g'), '\\s+$', ''), '\\s+')) END AS INTEGER)"""
+ORACLES["xml_docs"] = _with(XML) + "\nSELECT DOCNO, TITLE, AUTHOR, BIBLIO, TEXT FROM xml"
+ORACLES["docno_normalize"] = _with(XML) + "\nSELECT DOCNO, doc_id FROM xml"
+ORACLES["compose_body"] = _with(XML) + "\nSELECT doc_id, text AS body FROM built"
+ORACLES["build_docs"] = _with(XML) + f"""
+SELECT doc_id, title, author, text, {DOC_LEN.format(t='text')} AS doc_length FROM built"""
+ORACLES["write_docs"] = ORACLES["build_docs"]
+ORACLES["build_index"] = ORACLES["postings"]
+ORACLES["parse_changes"] = _with(DELTA) + f"""
+SELECT doc_id, 'T ' || CAST(doc_id AS VARCHAR) AS title, '' AS author,
+       'T ' || CAST(doc_id AS VARCHAR) || chr(10) || text || chr(10) AS text,
+       {DOC_LEN.format(t="('T ' || CAST(doc_id AS VARCHAR) || chr(10) || text || chr(10))")} AS doc_length
+FROM latest"""
+
+# --- step 10: change detection ------------------------------------------------
+def _sig(method: str, content: str) -> str:
+    nopad = "rtrim(to_base64(unhex({h})), '=')"
+    if method == "MD5":
+        return nopad.format(h=f"md5({content})")
+    if method == "SHA-1":
+        return nopad.format(h=f"sha1({content})")
+    if method == "SHA-256":
+        return nopad.format(h=f"sha256({content})")
+    if method == "checksum":
+        h = f"hex(encode({content}))"
+        return (f"CASE WHEN {content} IS NULL OR octet_length(encode({content})) = 0 THEN NULL ELSE "
+                f"CAST(list_sum(list_transform(range(0, length({h}) // 2), "
+                f"lambda i: ('0x' || substr({h}, 2 * i + 1, 2))::BIGINT)) % 4294967295 AS VARCHAR) END")
+    raise ValueError(method)
+
+
+FILES = "files AS (SELECT 'docs/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, text AS content, lang FROM documents)"
+for _name, _m in [("signatures_md5", "MD5"), ("signatures_sha256", "SHA-256"),
+                  ("signatures_checksum", "checksum")]:
+    ORACLES[_name] = _with(FILES) + f"\nSELECT path, '{_m}' AS method, {_sig(_m, 'content')} AS signature FROM files"
+_LANG_CASE = "CASE " + " ".join(f"WHEN lang = {_sql_str(l)} THEN {_sql_str(m)}" for l, m in LANG_METHODS) + " END"
+ORACLES["watch_set"] = _with(FILES) + f"""
+SELECT path, method, CASE method WHEN 'MD5' THEN {_sig('MD5', 'content')}
+                               WHEN 'SHA-1' THEN {_sig('SHA-1', 'content')}
+                               WHEN 'SHA-256' THEN {_sig('SHA-256', 'content')}
+                               WHEN 'checksum' THEN {_sig('checksum', 'content')} END AS signature
+FROM (SELECT path, content, coalesce({_LANG_CASE}, 'MD5') AS method FROM files
+      WHERE {_LANG_CASE} IS NOT NULL)"""
+SNAP = DELTA + f""",
+old_sig AS (SELECT 'docs/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, {_sig('MD5', 'text')} AS signature FROM documents),
+new_files AS (SELECT 'docs/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, text AS content FROM live_docs
+              WHERE doc_id % {TOMBSTONE_MOD} <> {TOMBSTONE_REM}),
+new_sig AS (SELECT path, 'MD5' AS method, {_sig('MD5', 'content')} AS signature FROM new_files),
+diff AS (
+  SELECT coalesce(o.path, n.path) AS path,
+         CASE WHEN o.path IS NULL THEN 'added' WHEN n.path IS NULL THEN 'removed'
+              WHEN o.signature IS DISTINCT FROM n.signature THEN 'changed' END AS change,
+         n.signature
+  FROM old_sig o FULL OUTER JOIN new_sig n ON o.path = n.path
+)"""
+ORACLES["signature_diff"] = _with(SNAP) + "\nSELECT path, change, signature FROM diff WHERE change IS NOT NULL"
+ORACLES["commit_baseline"] = _with(SNAP) + "\nSELECT path, method, signature FROM new_sig"
+ORACLES["signature_scalar"] = _with(FILES) + f"""
+SELECT path, 'MD5' AS method, {_sig('MD5', 'content')} AS signature,
+       'MD5|' || path || '|' || {_sig('MD5', 'content')} AS scalar,
+       'MD5' AS back_method, path AS back_path, {_sig('MD5', 'content')} AS back_signature FROM files"""
+ORACLES["publish_changes"] = _with(SNAP) + """
+SELECT d.path, d.change, CASE WHEN d.change = 'removed' THEN NULL ELSE f.content END AS content,
+       d.signature, CAST(1 AS BIGINT) AS batch
+FROM diff d LEFT JOIN new_files f ON d.path = f.path WHERE d.change IS NOT NULL"""

@@ -142,3 +142,24 @@ def query_log(events: DataFrame, stats: DataFrame) -> DataFrame:
                        F.col("event_id").alias("ts"),
                        F.pmod(F.col("event_id") * LOG_MULT, F.lit(LOG_MOD)).alias("rank"))
     return ev.join(vocab, "rank").select("session_id", "ts", F.col("word").alias("query"))
+
+
+# Per-file signature method by document language (watch set).
+LANG_METHODS = [("en", "MD5"), ("fr", "SHA-256"), ("de", "SHA-1"), ("es", "checksum")]
+
+
+def doc_files(docs: DataFrame) -> DataFrame:
+    """The corpus as watched files: (path, content)."""
+    return docs.select(F.concat(F.lit("docs/"), F.col("doc_id").cast("string"),
+                                F.lit(".txt")).alias("path"), F.col("text").alias("content"))
+
+
+def live_files(docs: DataFrame) -> DataFrame:
+    """The watched files after the delta: changed and new documents, and
+    without the tombstoned ones."""
+    delta = delta_docs(docs)
+    newest = delta.groupBy("doc_id").agg(F.max(F.struct("index_seq", "text")).alias("m")).select(
+        "doc_id", F.col("m.text").alias("text"))
+    live = docs.select("doc_id", "text").join(newest.select("doc_id"), "doc_id", "left_anti") \
+        .unionByName(newest)
+    return doc_files(live.join(tombstones(docs), "doc_id", "left_anti"))
