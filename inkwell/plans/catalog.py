@@ -18,6 +18,9 @@ from inkwell.functions import distance as D
 from inkwell.functions import signatures as SG
 from inkwell.operators import changes as C
 from inkwell.sources import corpus as CO
+from inkwell.streaming import live_index as LS
+from inkwell.streaming import metrics as MT
+from inkwell.streaming import suggest as PS
 from inkwell.operators import fuzzy as E
 from inkwell.operators import live as L
 from inkwell.operators import spelling as SP
@@ -492,3 +495,61 @@ def q_publish_changes(spark, sf_dir):
     log = work_dir(spark, "changelog")
     C.publish_changes(C.diff_signatures(old, new), new_files, log, batch=1)
     return C.read_change_log(spark, log)
+
+
+# --- step 11: streaming --------------------------------------------------------
+def _change_log_from_delta(spark, docs, log_path):
+    """Publish the delta fixture as change-log files, one publisher batch per
+    index_seq (content = new text)."""
+    delta = WL.delta_docs(docs)
+    seqs = sorted({r[0] for r in WL.DELTA_RULES})
+    for seq in seqs:
+        part = delta.filter(F.col("index_seq") == seq).select(
+            "path", F.lit("changed").alias("change"), F.col("text").alias("content"),
+            SG.signature("text", "MD5").alias("signature"), F.lit(seq).cast("bigint").alias("batch"))
+        part.coalesce(1).write.mode("append").parquet(log_path)
+
+
+def _run_indexer(spark, sf_dir, threshold):
+    docs = WL.documents(spark, sf_dir)
+    base = work_dir(spark, "live")
+    log = f"{base}/changelog"
+    _change_log_from_delta(spark, docs, log)
+    indexer = LS.LiveIndexer(spark, base, threshold=threshold)
+    indexer.init_main(docs)
+    q = LS.run_live_indexer(indexer, log, f"{base}/checkpoint", files_per_batch=1)
+    return indexer, q
+
+
+@register("live_index_stream")
+def q_live_index_stream(spark, sf_dir):
+    indexer, _ = _run_indexer(spark, sf_dir, threshold=1 << 30)
+    return indexer.latest().select("doc_id", "text", "index_seq", "path")
+
+
+@register("stream_merge")
+def q_stream_merge(spark, sf_dir):
+    indexer, _ = _run_indexer(spark, sf_dir, threshold=L.DEFAULT_MERGE_THRESHOLD)
+    return S.search(indexer.live(), WL.workload(spark))
+
+
+@register("metrics")
+def q_metrics(spark, sf_dir):
+    _, q = _run_indexer(spark, sf_dir, threshold=L.DEFAULT_MERGE_THRESHOLD)
+    return MT.progress_metrics(spark, q, "live_index_stream")
+
+
+@register("suggest_stream")
+def q_suggest_stream(spark, sf_dir):
+    import time
+    log, stats = _log_inputs(spark, sf_dir)
+    base = work_dir(spark, "suggest")
+    stats_path = f"{base}/stats"
+    stats.select("term", "cf").write.parquet(stats_path)
+    mid = log.agg(F.percentile_approx("ts", 0.5).alias("m")).first()["m"]
+    for cond in (F.col("ts") < mid, F.col("ts") >= mid):  # two arrivals, in ts order
+        log.filter(cond).coalesce(1).write.mode("append").parquet(f"{base}/log")
+        time.sleep(1.1)
+    PS.run_suggest_stream(spark, f"{base}/log", spark.read.parquet(stats_path),
+                          f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")

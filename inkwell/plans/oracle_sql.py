@@ -488,3 +488,9 @@ ORACLES["publish_changes"] = _with(SNAP) + """
 SELECT d.path, d.change, CASE WHEN d.change = 'removed' THEN NULL ELSE f.content END AS content,
        d.signature, CAST(1 AS BIGINT) AS batch
 FROM diff d LEFT JOIN new_files f ON d.path = f.path WHERE d.change IS NOT NULL"""
+
+
+# --- step 11: streaming (final state equals the batch operators) -------------
+ORACLES["live_index_stream"] = ORACLES["latest_delta"]
+ORACLES["stream_merge"] = ORACLES["live_search"]
+ORACLES["suggest_stream"] = ORACLES["suggest"]
