@@ -82,7 +82,7 @@ def doc_length(text) -> Column:
 
 def normalize_docno(docno) -> Column:
     """Keep the digits of a document number: 'doc-12' and 'A1B2' give 12."""
-    return F.regexp_replace(F.trim(_col(docno)), r"[^0-9]", "").cast("bigint")
+    return F.regexp_replace(F.trim(_col(docno)), r"[^0-9]", "").try_cast("bigint")
 
 
 def compose_body(title, text, author) -> Column:

@@ -77,7 +77,8 @@ def live_search(main: Index, delta_docs: DataFrame, queries: DataFrame) -> DataF
     delta = Index(docs=newest.select("doc_id", "text"),
                   postings=delta_postings(delta_docs).drop("index_seq"))
     main_res = search(main, queries).join(newest.select("doc_id"), "doc_id", "left_anti")
-    return main_res.unionByName(search(delta, queries))
+    return main_res.unionByName(search(delta, queries)).select(
+        "query_id", "doc_id", "score", "location")
 
 
 def needs_merge(delta_docs: DataFrame, threshold: int = DEFAULT_MERGE_THRESHOLD) -> DataFrame:
