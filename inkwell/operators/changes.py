@@ -43,11 +43,9 @@ def watch_set(files: DataFrame, default_method: str = "MD5") -> DataFrame:
 def diff_signatures(old: DataFrame, new: DataFrame) -> DataFrame:
     """(path, change) for files added, changed or removed between two
     snapshots (null signatures compare null-safely)."""
-    o = old.select("path", F.col("signature").alias("old_sig"))
-    n = new.select("path", F.col("signature").alias("new_sig"))
-    j = o.join(n, "path", "full_outer").join(
-        o.select("path", F.lit(True).alias("in_old")), "path", "left").join(
-        n.select("path", F.lit(True).alias("in_new")), "path", "left")
+    o = old.select("path", F.col("signature").alias("old_sig"), F.lit(True).alias("in_old"))
+    n = new.select("path", F.col("signature").alias("new_sig"), F.lit(True).alias("in_new"))
+    j = o.join(n, "path", "full_outer")
     change = (F.when(F.col("in_old").isNull(), F.lit("added"))
               .when(F.col("in_new").isNull(), F.lit("removed"))
               .when(~F.col("old_sig").eqNullSafe(F.col("new_sig")), F.lit("changed")))

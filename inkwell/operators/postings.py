@@ -101,12 +101,24 @@ def index_size(index: Index) -> DataFrame:
     Logical bytes count a posting as its term's UTF-8 bytes plus 16 bytes
     for doc_id, pos and wpos.
     """
-    p = index.postings
-    return p.agg(
-        F.count("*").alias("n_postings"),
-        F.countDistinct("term").alias("n_terms"),
-        F.countDistinct("doc_id").alias("n_docs"),
-        F.sum(F.octet_length("term") + 16).cast("bigint").alias("logical_bytes"))
+    return _size_of(index.postings)
+
+
+def _size_of(p: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Sizes via two-level aggregations (per term, per document) instead of
+    distinct counts, which would expand every posting once per distinct."""
+    keys = keys or []
+    per_term = p.groupBy(*keys, "term").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("term") + 16).alias("b"))
+    terms = per_term.groupBy(*keys).agg(
+        F.sum("n").alias("n_postings"), F.count("*").alias("n_terms"),
+        F.sum("b").cast("bigint").alias("logical_bytes"))
+    if not keys:
+        n_docs = p.select("doc_id").distinct().agg(F.count("*")).scalar()
+        return terms.select("n_postings", "n_terms", n_docs.alias("n_docs"), "logical_bytes")
+    docs = p.select(*keys, "doc_id").distinct().groupBy(*keys).agg(F.count("*").alias("n_docs"))
+    return terms.join(docs, keys, "inner").select(
+        *keys, "n_postings", "n_terms", "n_docs", "logical_bytes")
 
 
 def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
@@ -120,9 +132,7 @@ def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
 
 def delta_index_size(delta_postings: DataFrame) -> DataFrame:
     """Size per delta (index_seq) plus the total over all deltas (rollup)."""
-    per_term = delta_postings
-    return (per_term.rollup("index_seq").agg(
-        F.count("*").alias("n_postings"),
-        F.countDistinct("term").alias("n_terms"),
-        F.countDistinct("doc_id").alias("n_docs"),
-        F.sum(F.octet_length("term") + 16).cast("bigint").alias("logical_bytes")))
+    per_seq = _size_of(delta_postings, ["index_seq"])
+    total = _size_of(delta_postings).select(F.lit(None).cast(
+        delta_postings.schema["index_seq"].dataType).alias("index_seq"), "*")
+    return per_seq.unionByName(total)

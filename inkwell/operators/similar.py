@@ -118,9 +118,12 @@ def similar_candidates(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     """One row per (context, document) where the anchor's first occurrence
     is followed (pre side) or preceded (post side) by the other context term
     at distance 2; the word in between is the candidate (not the word itself).
-    Two equi-joins, one per side; the context side is broadcast when small."""
+    Two equi-joins, one per side."""
     occ = first_occurrence_contexts(docs)
-    a = bounded_broadcast(anchors)
+    # no explicit size check here (it would cost a pass over the corpus):
+    # the anchors reach the join through a shuffle, so AQE broadcasts them at
+    # run time when small and otherwise keeps a sort-merge join
+    a = anchors
     pre = a.filter(F.col("side") == "pre")
     post = a.filter(F.col("side") == "post")
     pre_hits = occ.join(pre, (occ["term"] == pre["anchor"]) & (occ["next2"] == pre["post"])).select(

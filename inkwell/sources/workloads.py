@@ -131,8 +131,8 @@ def log_vocabulary(stats: DataFrame) -> DataFrame:
     cand = stats.filter(F.col("term").rlike(LOG_WORD_PATTERN) & (F.col("cf") >= LOG_MIN_FREQ))
     # Only the first LOG_MOD ranks are addressable; keep them with a
     # window group limit (top rows per task before the single sort).
-    return cand.withColumn("rank", F.row_number().over(w) - 1).filter(
-        F.col("rank") < LOG_MOD).select("rank", F.col("term").alias("word"))
+    return cand.withColumn("rn", F.row_number().over(w)).filter(
+        F.col("rn") <= LOG_MOD).select((F.col("rn") - 1).alias("rank"), F.col("term").alias("word"))
 
 
 def query_log(events: DataFrame, stats: DataFrame) -> DataFrame:
