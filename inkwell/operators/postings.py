@@ -81,12 +81,18 @@ def term_bucket(term, buckets: int = DEFAULT_TERM_BUCKETS):
 
 def write_index(index: Index, path: str, buckets: int = DEFAULT_TERM_BUCKETS,
                 mode: str = "overwrite") -> None:
-    """Store docs and postings (postings partitioned by term bucket and
-    sorted by term inside files so row-group statistics prune term lookups)."""
+    """Store docs and postings.
+
+    Postings are partitioned by term bucket (search prunes buckets) and
+    range-partitioned on (bucket, term, doc_id) before writing: every task
+    writes a sorted run of a few buckets, a big bucket (or one very common
+    term) is split over many tasks, and files are sorted by term so
+    row-group statistics prune term lookups inside a bucket."""
+    n = int(index.docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     index.docs.write.mode(mode).parquet(f"{path}/docs")
     (index.postings.withColumn("term_bucket", term_bucket("term", buckets))
-     .repartition("term_bucket")
-     .sortWithinPartitions("term", "doc_id", "pos")
+     .repartitionByRange(n, "term_bucket", "term", "doc_id")
+     .sortWithinPartitions("term_bucket", "term", "doc_id", "pos")
      .write.mode(mode).partitionBy("term_bucket").parquet(f"{path}/postings"))
 
 
