@@ -158,6 +158,7 @@ def negation_only(index: Index, queries: DataFrame, query_terms: DataFrame,
         excluded = scored.filter(F.col("neg") == 1).select("query_id", "doc_id")
     excluded = excluded.filter(F.col("query_id").isin(ids) if ids else F.lit(False))
     base = fan_out(index.all_docs(), "query_id", ids)
+    base = base.withColumn("query_id", F.col("query_id").cast(queries.schema["query_id"].dataType))
     return base.join(excluded, ["query_id", "doc_id"], "left_anti").select(
         "query_id", "doc_id", F.lit(1).cast("bigint").alias("score"),
         F.lit(0).alias("location"))
