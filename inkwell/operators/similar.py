@@ -118,19 +118,25 @@ def similar_candidates(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     """One row per (context, document) where the anchor's first occurrence
     is followed (pre side) or preceded (post side) by the other context term
     at distance 2; the word in between is the candidate (not the word itself).
-    Two equi-joins, one per side."""
+
+    Each first occurrence is offered once per side (pre: other = next2,
+    candidate = next1; post: other = prev2, candidate = prev1), so one
+    equi-join on (anchor, side, other) serves both sides in a single pass.
+    No explicit size check on the anchors (it would cost a corpus pass): they
+    reach the join through a shuffle, and AQE broadcasts them at run time
+    when small, otherwise keeps a sort-merge join."""
     occ = first_occurrence_contexts(docs)
-    # no explicit size check here (it would cost a pass over the corpus):
-    # the anchors reach the join through a shuffle, so AQE broadcasts them at
-    # run time when small and otherwise keeps a sort-merge join
-    a = anchors
-    pre = a.filter(F.col("side") == "pre")
-    post = a.filter(F.col("side") == "post")
-    pre_hits = occ.join(pre, (occ["term"] == pre["anchor"]) & (occ["next2"] == pre["post"])).select(
-        "word", "pre", "post", "side", "doc_id", F.col("next1").alias("candidate"))
-    post_hits = occ.join(post, (occ["term"] == post["anchor"]) & (occ["prev2"] == post["pre"])).select(
-        "word", "pre", "post", "side", "doc_id", F.col("prev1").alias("candidate"))
-    return pre_hits.unionByName(post_hits).filter(F.col("candidate") != F.col("word"))
+    sides = occ.select("doc_id", "term", F.inline(F.array(
+        F.struct(F.lit("pre").alias("side"), F.col("next2").alias("other"),
+                 F.col("next1").alias("candidate")),
+        F.struct(F.lit("post").alias("side"), F.col("prev2").alias("other"),
+                 F.col("prev1").alias("candidate")))))
+    a = anchors.select("word", "pre", "post", "side", F.col("anchor").alias("term"),
+                       F.when(F.col("side") == "pre", F.col("post"))
+                       .otherwise(F.col("pre")).alias("other"))
+    return (sides.join(a, ["term", "side", "other"])
+            .filter(F.col("candidate") != F.col("word"))
+            .select("word", "pre", "post", "side", "doc_id", "candidate"))
 
 
 def similar_words(docs: DataFrame, words: DataFrame, stats: DataFrame | None = None,

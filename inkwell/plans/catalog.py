@@ -412,6 +412,13 @@ def q_build_index(spark, sf_dir):
     return P.read_index(spark, path).postings.select("doc_id", "pos", "wpos", "term")
 
 
+@register("index_size_stored")
+def q_index_size_stored(spark, sf_dir):
+    path = work_dir(spark, "index")
+    P.write_index(_index(spark, sf_dir), path)
+    return P.stored_bytes(spark, path)
+
+
 @register("parse_changes")
 def q_parse_changes(spark, sf_dir):
     delta = L.latest_delta(WL.delta_docs(WL.documents(spark, sf_dir)))
