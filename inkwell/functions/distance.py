@@ -28,7 +28,7 @@ def edit_distance(a, b, max_distance: int | None = None) -> Column:
 
 
 def weighted_distance(s: str, t: str, costs=DEFAULT_COSTS, hyphen: str = "plain") -> int:
-    """Weighted Wagner-Fischer distance of two strings.
+    """Weighted edit distance of two strings (dynamic programming over prefixes).
 
     ``hyphen="gap"`` treats '-' as the gap symbol of the cost function: a
     real hyphen inserted or deleted costs the match cost, and a hyphen
