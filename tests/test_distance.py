@@ -40,3 +40,19 @@ def test_fuzzy_match_brute_force(spark):
 def test_levenshtein_counts_characters(spark):
     df = spark.createDataFrame([("été", "ete")], "a string, b string")
     assert df.select(F.levenshtein("a", "b")).first()[0] == 2
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+WORD = st.text(alphabet="abc-é", max_size=7)
+
+
+@settings(max_examples=200, deadline=None)
+@given(WORD, WORD, WORD)
+def test_distance_symmetry_and_triangle(a, b, c):
+    d = weighted_distance
+    assert d(a, b) == d(b, a)
+    assert d(a, c) <= d(a, b) + d(b, c)
+    assert (d(a, b) == 0) == (a == b)
+    assert abs(len(a) - len(b)) <= d(a, b) <= max(len(a), len(b))
