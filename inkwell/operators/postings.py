@@ -83,15 +83,18 @@ def write_index(index: Index, path: str, buckets: int = DEFAULT_TERM_BUCKETS,
                 mode: str = "overwrite") -> None:
     """Store docs and postings.
 
-    Postings are partitioned by term bucket (search prunes buckets) and
-    range-partitioned on (bucket, term, doc_id) before writing: every task
-    writes a sorted run of a few buckets, a big bucket (or one very common
-    term) is split over many tasks, and files are sorted by term so
-    row-group statistics prune term lookups inside a bucket."""
+    Postings are partitioned by term bucket (search prunes buckets).  Before
+    writing they are hash-partitioned on (bucket, salt), the salt taken from
+    doc_id with about partitions / buckets values: each bucket, and any very
+    common term in it, is split over that many tasks, each task writes
+    slices of few buckets, and no sampling pass re-reads the corpus.  Files
+    are sorted by term so row-group statistics prune term lookups."""
     n = int(index.docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(1, n // buckets)
     index.docs.write.mode(mode).parquet(f"{path}/docs")
     (index.postings.withColumn("term_bucket", term_bucket("term", buckets))
-     .repartitionByRange(n, "term_bucket", "term", "doc_id")
+     .withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
+     .repartition(n, "term_bucket", "_salt").drop("_salt")
      .sortWithinPartitions("term_bucket", "term", "doc_id", "pos")
      .write.mode(mode).partitionBy("term_bucket").parquet(f"{path}/postings"))
 
