@@ -3,13 +3,15 @@
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Each query is forced to completion with the ``noop`` sink (full execution,
 nothing collected to the driver).  Timings are wall-clock seconds in a warm
-session; the index is built once and stored, then searched from storage.
+session, the median of BENCH_REPEATS runs (default 3); the index is built
+and stored, then searched from storage.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -36,11 +38,15 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus)), app="inkwell-bench")
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     times: dict[str, float] = {}
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
 
     def timed(name, fn):
-        t0 = time.time()
-        fn()
-        times[name] = round(time.time() - t0, 3)
+        runs = []
+        for i in range(repeats):
+            t0 = time.time()
+            fn(i)
+            runs.append(time.time() - t0)
+        times[name] = round(statistics.median(runs), 3)
 
     # warm-up: JVM start, first scan and code generation
     run(WL.documents(spark, sf_dir).select(F.length("text")))
@@ -49,7 +55,7 @@ def main() -> None:
     base = work_dir(spark, "bench")
     idx_path = f"{base}/main/v=1"
 
-    def build():
+    def build(_):
         P.write_index(P.build_index(docs), idx_path)
         idx = P.read_index(spark, idx_path)
         P.term_stats(idx.postings, idx.docs).write.mode("overwrite").parquet(f"{base}/stats")
@@ -58,20 +64,20 @@ def main() -> None:
     main_idx = P.read_index(spark, idx_path)
     stats = spark.read.parquet(f"{base}/stats")
     queries = WL.workload(spark)
-    timed("search", lambda: run(S.search(main_idx, queries)))
-    timed("search_report", lambda: run(S.search_report(main_idx, queries)))
+    timed("search", lambda _: run(S.search(main_idx, queries)))
+    timed("search_report", lambda _: run(S.search_report(main_idx, queries)))
     delta = WL.delta_docs(docs)
-    timed("live_search", lambda: run(L.live_search(main_idx, delta, queries)))
+    timed("live_search", lambda _: run(L.live_search(main_idx, delta, queries)))
     words = WL.similar_words_input(spark)
-    timed("similar_first", lambda: run(W.similar_words(docs, words, stats, "first")))
-    timed("similar_all", lambda: run(W.similar_words(docs, words, stats, "all")))
+    timed("similar_first", lambda _: run(W.similar_words(docs, words, stats, "first")))
+    timed("similar_all", lambda _: run(W.similar_words(docs, words, stats, "all")))
     log = WL.query_log(WL.read_table(spark, sf_dir, "events"), stats)
-    timed("suggest", lambda: run(SP.suggest(log, stats)))
-    timed("merge", lambda: L.merge_delta(main_idx, delta, base, version=2))
+    timed("suggest", lambda _: run(SP.suggest(log, stats)))
+    timed("merge", lambda i: L.merge_delta(main_idx, delta, base, version=2 + i))
 
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf}))
+                      "queries": times, "sf": sf, "repeats": repeats}))
 
 
 if __name__ == "__main__":
