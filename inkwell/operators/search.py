@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.text import normalize_term, snippet
 from inkwell.operators.postings import Index, term_bucket
-from inkwell.plans.joins import bounded_broadcast, fan_out
+from inkwell.plans.joins import BROADCAST_MAX_ROWS, bounded_broadcast, fan_out
 from inkwell.plans.ranking import distributed_row_number
 
 # Fixed values of the query syntax.
@@ -216,10 +216,21 @@ def page(results: DataFrame, page_no: int = 1, size: int = PAGE_SIZE) -> DataFra
 def with_snippet(results: DataFrame, docs: DataFrame, line_break: bool = True,
                  small_results: bool = False) -> DataFrame:
     """Q14: add the 21-word snippet at each result's location ('' if the
-    document is absent)."""
+    document is absent).
+
+    ``small_results`` (a page, whose size the caller has bounded): the
+    results are broadcast into an inner join with the documents, so the
+    corpus is streamed once and never shuffled; the snippets are then
+    attached to the results with a join of two small sides.  Otherwise a
+    left join on doc_id (both sides shuffled, as for any large join)."""
     d = docs.select("doc_id", F.col("text").alias("_text"))
-    r = bounded_broadcast(results) if small_results else results
-    joined = r.join(d, "doc_id", "left")
+    if small_results:
+        keys = F.broadcast(results.select("query_id", "doc_id", "location"))
+        found = d.join(keys, "doc_id").select(
+            "query_id", "doc_id", snippet("_text", "location", line_break).alias("snippet"))
+        return results.join(found, ["query_id", "doc_id"], "left").withColumn(
+            "snippet", F.coalesce("snippet", F.lit("")))
+    joined = results.join(d, "doc_id", "left")
     return joined.withColumn(
         "snippet", F.when(F.col("_text").isNull(), F.lit("")).otherwise(
             snippet("_text", "location", line_break))).drop("_text")
@@ -227,9 +238,12 @@ def with_snippet(results: DataFrame, docs: DataFrame, line_break: bool = True,
 
 def search_report(index: Index, queries: DataFrame, page_no: int = 1,
                   size: int = PAGE_SIZE) -> DataFrame:
-    """Q15: one page per query: rank, document, score and snippet."""
+    """Q15: one page per query: rank, document, score and snippet.  A page
+    holds at most ``size`` rows per query, so counting the workload (not the
+    results) bounds it before it is broadcast."""
     top = page(search(index, queries), page_no, size)
-    return with_snippet(top, index.docs, small_results=True).select(
+    small = queries.count() * size <= BROADCAST_MAX_ROWS
+    return with_snippet(top, index.docs, small_results=small).select(
         "query_id", "rank", "doc_id", "score", "location", "snippet")
 
 
