@@ -20,3 +20,46 @@ def test_suggest_stream_equals_batch(spark):
     batch = sorted(tuple(r) for r in SP.suggest(log, stats).collect())
     assert streamed == batch == [(1, 4, "recieve", "receive"), (1, 8, "recieve", "receive"),
                                  (2, 7, "teh", "the")]
+
+
+def test_live_indexer_resumes_after_restart(spark):
+    from pyspark.sql import functions as F
+
+    from inkwell.operators import search as S
+    from inkwell.streaming.live_index import LiveIndexer, run_live_indexer
+
+    docs = spark.createDataFrame([(1, "alpha beta"), (2, "beta gamma"), (3, "gamma delta")],
+                                 "doc_id bigint, text string")
+    changes = [
+        ("docs/2.xml", "changed", "beta beta omega", 1),
+        ("docs/4.xml", "changed", "omega alpha", 1),
+        ("docs/3.xml", "removed", None, 2),
+        ("docs/4.xml", "changed", "omega", 2),
+    ]
+    schema = "path string, change string, content string, signature string, batch bigint"
+    rows = [(p, c, t, None, b) for p, c, t, b in changes]
+    queries = spark.createDataFrame([(0, "omega"), (1, "beta"), (2, "gamma"), (3, "")],
+                                    "query_id bigint, query string")
+
+    def run(base, batches, restart):
+        log, ckpt = f"{base}/log", f"{base}/ckpt"
+        idx = LiveIndexer(spark, base, threshold=2)
+        idx.init_main(docs)
+        for b in batches:
+            spark.createDataFrame([r for r in rows if r[4] == b], schema).coalesce(1) \
+                .write.mode("append").parquet(log)
+            if restart:
+                idx = LiveIndexer(spark, base, threshold=2)   # a new driver reads the pointer
+                run_live_indexer(idx, log, ckpt)
+        if not restart:
+            run_live_indexer(idx, log, ckpt)
+        return sorted(tuple(r) for r in S.search(idx.live(), queries).collect()), idx
+
+    staged, idx = run(work_dir(spark, "t-live-a"), [1, 2], restart=True)
+    at_once, _ = run(work_dir(spark, "t-live-b"), [1, 2], restart=False)
+    assert staged == at_once
+    assert idx.main_version >= 2          # the threshold was crossed and a merge happened
+    got = {q: {d for qq, d, *_ in staged if qq == q} for q in range(4)}
+    assert got[0] == {2, 4} and got[1] == {1, 2}
+    assert got[2] == set()                 # doc 2 was rewritten, doc 3 removed
+    assert got[3] == {1, 2, 4}             # empty query: every live document
