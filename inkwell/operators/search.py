@@ -3,14 +3,16 @@
 Plan shape (one Spark job for the whole workload):
 
 * query terms (small, size-checked) are broadcast and joined to postings on
-  the word, so postings are never shuffled by term (stop words are hot keys);
-* single-word terms are occurrences already; phrase terms are matched by
-  relational division: group hits by (query, term, doc, start) and keep
-  groups with one hit per phrase word;
+  the word (and term bucket for a stored index, so partitions are pruned);
+  postings are never shuffled by term, where stop words would be hot keys;
+* phrases are matched by relational division: hits grouped by (query, term,
+  doc, start) with one hit per phrase word; single words are the n = 1 case;
 * one aggregation by (query, doc) yields score, first location and the
   "hit a negated term" flag together, so negation needs no extra join;
-* only queries without positive terms (negation-only or empty) fan out over
-  all documents, on their own branch.
+  queries without positive terms (negation-only or empty) add one base row
+  per document to that same aggregation.
+
+On doc_id-partitioned postings neither aggregation needs a shuffle.
 """
 
 from __future__ import annotations
