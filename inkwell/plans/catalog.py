@@ -128,6 +128,12 @@ def q_search(spark, sf_dir):
     return _results(spark, sf_dir)[2]
 
 
+@register("search_benchmark")
+def q_search_benchmark(spark, sf_dir):
+    """Q11 with long phrases: every benchmark passage searched as a phrase."""
+    return _results(spark, sf_dir, WL.benchmark_workload(spark, sf_dir))[2]
+
+
 @register("search_rank")
 def q_search_rank(spark, sf_dir):
     return S.rank(_results(spark, sf_dir)[2])

@@ -494,3 +494,9 @@ FROM diff d LEFT JOIN new_files f ON d.path = f.path WHERE d.change IS NOT NULL"
 ORACLES["live_index_stream"] = ORACLES["latest_delta"]
 ORACLES["stream_merge"] = ORACLES["live_search"]
 ORACLES["suggest_stream"] = ORACLES["suggest"]
+
+ORACLES["search_benchmark"] = _with(
+    tokenize_cte(),
+    "queries AS (SELECT item_id AS query_id, "
+    "'\"' || regexp_replace(text, '\\s+', ' ', 'g') || '\"' AS query FROM benchmark)",
+    query_terms_cte(), search_ctes()) + "\nSELECT query_id, doc_id, score, location FROM results"

@@ -83,6 +83,15 @@ def benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("item_id").alias("phrase_id"), F.col("text").alias("phrase"))
 
 
+def benchmark_workload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages as one-line quoted phrase queries (query_id =
+    item_id); whitespace runs become single spaces, since a quoted phrase
+    does not span a line break."""
+    return read_table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"),
+        F.concat(F.lit('"'), F.regexp_replace("text", r"\s+", " "), F.lit('"')).alias("query"))
+
+
 def extended_workload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixed workload plus benchmark passages as quoted phrase queries and
     user turns of conversations as free-text queries."""
