@@ -93,8 +93,9 @@ def benchmark_workload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extended_workload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixed workload plus benchmark passages as quoted phrase queries and
-    user turns of conversations as free-text queries."""
+    """The fixed workload plus benchmark passages in quotes (kept with their
+    line breaks, so multi-line ones exercise the unpaired-quote path of the
+    parser) and user turns of conversations as free-text queries."""
     bench = read_table(spark, sf_dir, "benchmark").select(
         (F.lit(1_000_000) + F.col("item_id")).alias("query_id"),
         F.concat(F.lit('"'), F.col("text"), F.lit('"')).alias("query"))
