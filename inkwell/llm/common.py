@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -73,3 +74,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
 
 def text_or_empty(col="text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+# Unicode white space; str.split() also splits at the four separators 1C-1F.
+_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
+_SEPARATORS = re.compile("[\\x1c-\\x1f]")
+
+
+def chunks(text: str) -> list[str]:
+    """Runs of characters other than Unicode white space."""
+    if _SEPARATORS.search(text):
+        return [c for c in _SPACE.split(text) if c]
+    return text.split()
