@@ -1,17 +1,15 @@
 """Edit distance columns.
 
 Unit costs use Spark's built-in ``levenshtein`` (JVM side, optional cutoff).
-Weighted costs [match, indel, mismatch] have no built-in, so they run as an
-Arrow-batched pandas UDF; callers apply it to distinct pairs that survived a
-cheap filter, never to a raw cross product.
+Weighted costs [match, indel, mismatch] have no built-in; the table is computed
+with folds over character arrays, also on the JVM side.  ``weighted_distance``
+is the same for two Python strings (the suggestion stream, tests).
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 # Fixed value: default costs [match, insertion/deletion, mismatch].
 DEFAULT_COSTS = (0, 1, 1)
@@ -64,14 +62,43 @@ def weighted_distance(s: str, t: str, costs=DEFAULT_COSTS, hyphen: str = "plain"
 
 
 def weighted_edit_distance(a, b, costs=DEFAULT_COSTS, hyphen: str = "plain") -> Column:
-    """Weighted distance column (null when either side is null)."""
-    costs = tuple(int(c) for c in costs)
-
-    @F.pandas_udf(LongType())
-    def _wd(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if (p is None or q is None) else weighted_distance(p, q, costs, hyphen)
-                          for p, q in zip(x, y)], dtype="Int64")
+    """Weighted distance column (null when either side is null).
 
+    ``weighted_distance`` as nested folds over character arrays: the outer
+    one carries a row of the table, the inner one builds the next row."""
+    match, indel, mismatch = (F.lit(int(c)).cast("bigint") for c in costs)
     ca = F.col(a) if isinstance(a, str) else a
     cb = F.col(b) if isinstance(b, str) else b
-    return _wd(ca, cb)
+    gap = hyphen == "gap"
+
+    def chars(c):
+        return F.when(F.length(c) > 0, F.split(c, "")).otherwise(F.array().cast("array<string>"))
+
+    def step_cost(x):  # of inserting or deleting x
+        return F.when(x == GAP, match).otherwise(indel) if gap else indel
+
+    def pair_cost(x, y):
+        out = F.when(x == y, match)
+        if gap:
+            out = out.when((x == GAP) | (y == GAP), indel)
+        return out.otherwise(mismatch)
+
+    def next_row(state, x):
+        # The inner fold carries (previous cell, row so far).
+        row, first = state["row"], state["row"][0] + indel
+        start = F.array(first)
+        cells = F.aggregate(
+            F.sequence(F.lit(0), F.size(state["other"]) - 1),
+            start,
+            lambda cur, j: F.array_append(cur, F.least(
+                F.get(row, j + 1) + step_cost(x),
+                F.element_at(cur, -1) + step_cost(F.get(state["other"], j)),
+                F.get(row, j) + pair_cost(x, F.get(state["other"], j)))))
+        return F.struct(cells.alias("row"), state["other"].alias("other"))
+
+    first_row = F.transform(F.sequence(F.lit(0), F.length(cb)), lambda j: j.cast("bigint") * indel)
+    full = F.aggregate(chars(ca), F.struct(first_row.alias("row"), chars(cb).alias("other")), next_row,
+                       lambda s: F.element_at(s["row"], -1))
+    return (F.when(ca.isNull() | cb.isNull(), F.lit(None).cast("bigint"))
+            .when(F.length(cb) == 0, F.length(ca).cast("bigint") * indel)
+            .otherwise(full))

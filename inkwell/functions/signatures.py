@@ -52,7 +52,8 @@ def signature(content, method: str | Column = "MD5", mtime=None) -> Column:
             .when(m == "SHA-1", _b64_nopad(F.sha1(b)))
             .when(m == "SHA-256", _b64_nopad(F.sha2(b, 256)))
             .when(m == "SHA-512", _b64_nopad(F.sha2(b, 512)))
-            .when(m == "checksum", byte_checksum(c).cast("string"))
+            # Only contents that are summed go to Python.
+            .when(m == "checksum", byte_checksum(F.when(m == "checksum", c)).cast("string"))
             .when(m == "mtime", F.unix_timestamp(mt).cast("string")))
 
 

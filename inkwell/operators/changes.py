@@ -36,8 +36,10 @@ def content_signatures(df: DataFrame, method: str | None = None, path_col: str =
 
 
 def watch_set(files: DataFrame, default_method: str = "MD5") -> DataFrame:
-    """(path, method) rows; a missing method falls back to the default."""
-    return files.select("path", F.coalesce(F.col("method"), F.lit(default_method)).alias("method"))
+    """(path, method) rows; a missing method falls back to the default.  A
+    ``content`` column is carried along, so signing needs no second read."""
+    return files.select("path", F.coalesce(F.col("method"), F.lit(default_method)).alias("method"),
+                        *[c for c in files.columns if c == "content"])
 
 
 def diff_signatures(old: DataFrame, new: DataFrame) -> DataFrame:

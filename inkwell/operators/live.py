@@ -25,11 +25,20 @@ DEFAULT_MERGE_THRESHOLD = 10
 
 def latest_delta(delta_docs: DataFrame) -> DataFrame:
     """L3: the newest version of each document across deltas (an aggregation
-    with map-side combine, not a window over each document)."""
-    newest = delta_docs.groupBy("doc_id").agg(
-        F.max(F.struct("index_seq", "text", "path")).alias("m"))
-    return newest.select("doc_id", F.col("m.text").alias("text"),
-                         F.col("m.index_seq").alias("index_seq"), F.col("m.path").alias("path"))
+    with map-side combine, not a window over each document).  Newest by
+    index_seq, then by the micro-batch that brought it, if there is one; with
+    a ``change`` column, a removal is a version like any other."""
+    order = ["index_seq", *(c for c in ("stream_batch",) if c in delta_docs.columns)]
+    values = ["text", "path", *(c for c in ("change",) if c in delta_docs.columns)]
+    newest = delta_docs.groupBy("doc_id").agg(F.max(F.struct(*order, *values)).alias("m"))
+    return newest.select("doc_id", "m.text", "m.index_seq", *[f"m.{c}" for c in values[1:]])
+
+
+def alive(newest: DataFrame) -> DataFrame:
+    """Newest versions that are no removals (a removal only masks main)."""
+    if "change" not in newest.columns:
+        return newest
+    return newest.filter(F.coalesce(F.col("change") != "removed", F.lit(True)))
 
 
 def duplicate_delta_docs(delta_docs: DataFrame) -> DataFrame:
@@ -40,13 +49,13 @@ def duplicate_delta_docs(delta_docs: DataFrame) -> DataFrame:
 
 def delta_index(delta_docs: DataFrame) -> Index:
     """L2/L3: the delta as an index over its newest document versions."""
-    return Index(docs=latest_delta(delta_docs), postings=delta_postings(delta_docs))
+    return Index(docs=alive(latest_delta(delta_docs)), postings=delta_postings(delta_docs))
 
 
 def delta_postings(delta_docs: DataFrame) -> DataFrame:
     """Postings of the newest versions, tagged with their index_seq (narrow:
     index_seq rides along the document row through the tokenizer)."""
-    docs = latest_delta(delta_docs)
+    docs = alive(latest_delta(delta_docs))
     return docs.select("doc_id", "index_seq",
                        F.posexplode(term_positions("text")).alias("pos", "t")).select(
         "doc_id", F.col("pos").cast("int").alias("pos"), F.col("t.wpos").alias("wpos"),
@@ -57,7 +66,7 @@ def remove_docs(index: Index, ids: DataFrame) -> Index:
     """L4: drop documents (and their postings) by id."""
     ids = ids.select("doc_id").distinct()
     return Index(docs=index.docs.join(ids, "doc_id", "left_anti"),
-                 postings=index.postings.join(ids, "doc_id", "left_anti"))
+                 postings=index.postings.join(ids, "doc_id", "left_anti"), buckets=index.buckets)
 
 
 def live_index(main: Index, delta_docs: DataFrame) -> Index:
@@ -65,16 +74,17 @@ def live_index(main: Index, delta_docs: DataFrame) -> Index:
     newest = latest_delta(delta_docs)
     ids = newest.select("doc_id")
     masked = remove_docs(main, ids)
-    docs = masked.docs.select("doc_id", "text").unionByName(newest.select("doc_id", "text"))
+    docs = masked.docs.select("doc_id", "text").unionByName(alive(newest).select("doc_id", "text"))
     postings = masked.postings.select("doc_id", "pos", "wpos", "term").unionByName(
         delta_postings(delta_docs).select("doc_id", "pos", "wpos", "term"))
     return Index(docs=docs, postings=postings)
 
 
 def live_search(main: Index, delta_docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """Search main and delta, mask main results held by a delta, union."""
+    """Search main and delta, mask main results held by a delta (also as a
+    removal), union."""
     newest = latest_delta(delta_docs)
-    delta = Index(docs=newest.select("doc_id", "text"),
+    delta = Index(docs=alive(newest).select("doc_id", "text"),
                   postings=delta_postings(delta_docs).drop("index_seq"))
     main_res = search(main, queries).join(newest.select("doc_id"), "doc_id", "left_anti")
     return main_res.unionByName(search(delta, queries)).select(
@@ -91,8 +101,7 @@ def needs_merge(delta_docs: DataFrame, threshold: int = DEFAULT_MERGE_THRESHOLD)
 def merge_delta(main: Index, delta_docs: DataFrame, base_path: str, version: int) -> Index:
     """Write the live view as main version ``version`` (a new folder, so
     readers of the previous version are never disturbed) and return it read
-    back from storage.  Statistics are rebuilt from the merged postings by
-    whoever reads them.  Clearing the delta is the caller's pointer switch."""
+    back from storage, with its counts and statistics.  Clearing the delta is the caller's pointer switch."""
     live = live_index(main, delta_docs)
     path = f"{base_path.rstrip('/')}/main/v={version}"
     write_index(live, path)

@@ -25,6 +25,10 @@ class Index:
 
     docs: DataFrame
     postings: DataFrame
+    # Buckets of a stored index (None: postings are not bucketed).
+    buckets: int | None = None
+    counts: DataFrame | None = None  # stored term counts (doc_id, term, tf)
+    stats: DataFrame | None = None  # stored term statistics (term, df, cf, idf)
 
     def all_docs(self) -> DataFrame:
         return all_docs(self.docs)
@@ -67,9 +71,13 @@ def term_stats(postings: DataFrame, docs: DataFrame) -> DataFrame:
     distinct count; both levels combine map-side, so stop words do not
     concentrate raw postings in one task.  N is a scalar subquery.
     """
+    return stats_of_counts(term_counts(postings), docs)
+
+
+def stats_of_counts(counts: DataFrame, docs: DataFrame) -> DataFrame:
+    """I4 from term counts."""
     n_docs = all_docs(docs).agg(F.count("*")).scalar()
-    per_doc = term_counts(postings)
-    return per_doc.groupBy("term").agg(
+    return counts.groupBy("term").agg(
         F.count("*").alias("df"), F.sum("tf").alias("cf")).withColumn(
         "idf", F.round(F.log(n_docs / F.col("df")), 6))
 
@@ -81,27 +89,37 @@ def term_bucket(term, buckets: int = DEFAULT_TERM_BUCKETS):
 
 def write_index(index: Index, path: str, buckets: int = DEFAULT_TERM_BUCKETS,
                 mode: str = "overwrite") -> None:
-    """Store docs and postings.
+    """Store docs, postings, term counts, term statistics and the
+    number of buckets.
 
     Postings are partitioned by term bucket (search prunes buckets).  Before
-    writing they are hash-partitioned on (bucket, salt), the salt taken from
-    doc_id with about partitions / buckets values: each bucket, and any very
-    common term in it, is split over that many tasks, each task writes
-    slices of few buckets, and no sampling pass re-reads the corpus.  Files
-    are sorted by term so row-group statistics prune term lookups."""
-    n = int(index.docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = max(1, n // buckets)
+    writing they are rebalanced by bucket: the planner splits large buckets
+    by size and joins small ones, whatever the corpus size, and any very
+    common term is split with its bucket.  Files are sorted by term so
+    row-group statistics prune term lookups.  Counts and statistics are
+    derived from the stored postings, so the text is tokenised once."""
+    spark = index.docs.sparkSession
     index.docs.write.mode(mode).parquet(f"{path}/docs")
     (index.postings.withColumn("term_bucket", term_bucket("term", buckets))
-     .withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
-     .repartition(n, "term_bucket", "_salt").drop("_salt")
+     .hint("rebalance", "term_bucket")
      .sortWithinPartitions("term_bucket", "term", "doc_id", "pos")
      .write.mode(mode).partitionBy("term_bucket").parquet(f"{path}/postings"))
+    stored = spark.read.parquet(f"{path}/postings")
+    counts = term_counts(stored)
+    counts.write.mode(mode).parquet(f"{path}/term_counts")
+    counts = spark.read.schema(counts.schema).parquet(f"{path}/term_counts")
+    stats_of_counts(counts, spark.read.schema(index.docs.schema).parquet(f"{path}/docs")) \
+        .write.mode(mode).parquet(f"{path}/term_stats")
+    # Written last: a folder without it is not a complete index.
+    spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode(mode).json(f"{path}/meta")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
+    buckets = spark.read.schema("buckets int").json(f"{path}/meta").first()["buckets"]
     return Index(docs=spark.read.parquet(f"{path}/docs"),
-                 postings=spark.read.parquet(f"{path}/postings"))
+                 postings=spark.read.parquet(f"{path}/postings"), buckets=buckets,
+                 counts=spark.read.parquet(f"{path}/term_counts"),
+                 stats=spark.read.parquet(f"{path}/term_stats"))
 
 
 def index_size(index: Index) -> DataFrame:

@@ -2,9 +2,10 @@
 
 Plan shape (one Spark job for the whole workload):
 
-* query terms (small, size-checked) are broadcast and joined to postings on
-  the word (and term bucket for a stored index, so partitions are pruned);
-  postings are never shuffled by term, where stop words would be hot keys;
+* query terms are joined to postings on the word (and term bucket for a stored
+  index, so partitions are pruned) through a salt: the planner broadcasts the
+  terms if they are small by its own estimate, and if not, a stop word is
+  spread over the salts instead of being one hot key;
 * phrases are matched by relational division: hits grouped by (query, term,
   doc, start) with one hit per phrase word; single words are the n = 1 case;
 * one aggregation by (query, doc) yields score, first location and the
@@ -12,7 +13,7 @@ Plan shape (one Spark job for the whole workload):
   queries without positive terms (negation-only or empty) add one base row
   per document to that same aggregation.
 
-On doc_id-partitioned postings neither aggregation needs a shuffle.
+Only hits are shuffled, never texts or whole postings.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import normalize_term, snippet
-from inkwell.operators.postings import Index, term_bucket
-from inkwell.plans.joins import BROADCAST_MAX_ROWS, bounded_broadcast, fan_out
+from inkwell.operators.postings import DEFAULT_TERM_BUCKETS, Index, term_bucket
+from inkwell.plans.joins import every_pair, salted_join
 from inkwell.plans.ranking import distributed_row_number
 
 # Fixed values of the query syntax.
@@ -61,33 +62,32 @@ def explode_query_terms(queries: DataFrame, query_col: str = "query") -> DataFra
         F.col("offset").cast("int").alias("offset"), "word")
 
 
-def term_hits(postings: DataFrame, query_terms: DataFrame) -> DataFrame:
+def term_hits(postings: DataFrame, query_terms: DataFrame, buckets: int | None = None) -> DataFrame:
     """Q2: postings of every query word, tagged with the query term.
 
-    A stored index is partitioned by term bucket; the join then also matches
-    the bucket so dynamic partition pruning reads only the query words'
-    buckets."""
-    qt = query_terms.select("query_id", "term_no", "negated", "n_words", "offset", "word")
-    cond = postings["term"] == F.col("word")
+    A stored index is partitioned by term bucket (``buckets`` of them); the
+    join then also matches the bucket so dynamic partition pruning reads
+    only the query words' buckets."""
+    qt = query_terms.select("query_id", "term_no", "negated", "n_words", "offset",
+                            F.col("word").alias("term"))
+    on = ["term"]
     if "term_bucket" in postings.columns:
-        qt = qt.withColumn("q_bucket", term_bucket("word"))
-        cond = cond & (postings["term_bucket"] == F.col("q_bucket"))
-    qt = bounded_broadcast(qt)
-    return postings.join(qt, cond).select(
+        qt = qt.withColumn("term_bucket", term_bucket("term", buckets or DEFAULT_TERM_BUCKETS))
+        on.append("term_bucket")
+    return salted_join(postings, qt, on, spread_by="doc_id").select(
         "query_id", "term_no", "negated", "n_words", "doc_id",
         (F.col("pos") - F.col("offset")).alias("start"), "wpos")
 
 
-def phrase_hits(postings: DataFrame, query_terms: DataFrame) -> DataFrame:
+def phrase_hits(postings: DataFrame, query_terms: DataFrame, buckets: int | None = None) -> DataFrame:
     """Q3: occurrences of every query term: (query, term, doc, start, start_wpos).
 
     Relational division: hits grouped by (query, term, doc, start) with one
     hit per phrase word form an occurrence (single words trivially; overlaps
-    and repeated words included).  On doc-partitioned postings the grouping
-    needs no shuffle; the key contains the start position, so a hot document
-    or word is never one hot group.
+    and repeated words included).  The key contains the start position, so a
+    hot document or word is never one hot group.
     """
-    return (term_hits(postings, query_terms)
+    return (term_hits(postings, query_terms, buckets)
             .groupBy("query_id", "term_no", "doc_id", "start")
             .agg(F.count("*").alias("k"), F.first("n_words").alias("n_words"),
                  F.first("negated").alias("negated"), F.min("wpos").alias("start_wpos"))
@@ -119,19 +119,19 @@ def _scored(occ: DataFrame) -> DataFrame:
 
 def disjunction(index: Index, query_terms: DataFrame) -> DataFrame:
     """Q4: documents matching any positive term (before negation)."""
-    s = _scored(phrase_hits(index.postings, query_terms))
+    s = _scored(phrase_hits(index.postings, query_terms, index.buckets))
     return s.filter(F.col("score").isNotNull()).select("query_id", "doc_id")
 
 
 def search_score(index: Index, query_terms: DataFrame) -> DataFrame:
     """Q5: score = sum over matching terms of occurrences x words in the term."""
-    s = _scored(phrase_hits(index.postings, query_terms))
+    s = _scored(phrase_hits(index.postings, query_terms, index.buckets))
     return s.filter(F.col("score").isNotNull()).select("query_id", "doc_id", "score")
 
 
 def search_location(index: Index, query_terms: DataFrame) -> DataFrame:
     """Q6: 1-based word location of the first hitting term's first occurrence."""
-    s = _scored(phrase_hits(index.postings, query_terms))
+    s = _scored(phrase_hits(index.postings, query_terms, index.buckets))
     return s.filter(F.col("score").isNotNull()).select(
         "query_id", "doc_id", _location("first_key").alias("location"))
 
@@ -139,14 +139,13 @@ def search_location(index: Index, query_terms: DataFrame) -> DataFrame:
 def docs_with_any(index: Index, query_terms: DataFrame) -> DataFrame:
     """Q7: (query, doc) pairs where any negated term of the query occurs."""
     neg_terms = query_terms.filter("negated")
-    return phrase_hits(index.postings, neg_terms).select(
+    return phrase_hits(index.postings, neg_terms, index.buckets).select(
         "query_id", "doc_id").distinct()
 
 
-def _negation_only_ids(queries: DataFrame, query_terms: DataFrame) -> list:
+def _negation_only_ids(queries: DataFrame, query_terms: DataFrame) -> DataFrame:
     positive = query_terms.filter(~F.col("negated")).select("query_id")
-    ids = queries.select("query_id").distinct().join(positive, "query_id", "left_anti")
-    return sorted(r[0] for r in ids.collect())
+    return queries.select("query_id").distinct().join(positive, "query_id", "left_anti")
 
 
 def negation_only(index: Index, queries: DataFrame, query_terms: DataFrame,
@@ -158,9 +157,8 @@ def negation_only(index: Index, queries: DataFrame, query_terms: DataFrame,
         excluded = docs_with_any(index, query_terms)
     else:
         excluded = scored.filter(F.col("neg") == 1).select("query_id", "doc_id")
-    excluded = excluded.filter(F.col("query_id").isin(ids) if ids else F.lit(False))
-    base = fan_out(index.all_docs(), "query_id", ids)
-    base = base.withColumn("query_id", F.col("query_id").cast(queries.schema["query_id"].dataType))
+    excluded = excluded.join(ids, "query_id", "left_semi")
+    base = every_pair(index.all_docs(), ids, spread_by="doc_id")
     return base.join(excluded, ["query_id", "doc_id"], "left_anti").select(
         "query_id", "doc_id", F.lit(1).cast("bigint").alias("score"),
         F.lit(0).alias("location"))
@@ -175,17 +173,14 @@ def search(index: Index, queries: DataFrame, query_terms: DataFrame | None = Non
     removes the document, and base rows turn into score 1, location 0."""
     if query_terms is None:
         query_terms = explode_query_terms(queries)
-    occ = phrase_hits(index.postings, query_terms).select(
+    occ = phrase_hits(index.postings, query_terms, index.buckets).select(
         "query_id", "doc_id", "negated", "n_words",
         F.when(~F.col("negated"), _first_key("term_no", "start_wpos")).alias("first_key"),
         F.lit(0).alias("base"))
     ids = _negation_only_ids(queries, query_terms)
-    if ids:
-        base = fan_out(index.all_docs(), "query_id", ids).select(
-            F.col("query_id").cast("bigint").alias("query_id"), "doc_id",
-            F.lit(False).alias("negated"), F.lit(None).cast("int").alias("n_words"),
-            F.lit(None).cast("bigint").alias("first_key"), F.lit(1).alias("base"))
-        occ = occ.unionByName(base)
+    occ = occ.unionByName(every_pair(index.all_docs(), ids, spread_by="doc_id").select(
+        "query_id", "doc_id", F.lit(False).alias("negated"), F.lit(None).cast("int").alias("n_words"),
+        F.lit(None).cast("bigint").alias("first_key"), F.lit(1).alias("base")))
     agg = occ.groupBy("query_id", "doc_id").agg(
         F.sum(F.when(~F.col("negated"), F.col("n_words"))).cast("bigint").alias("score"),
         F.min("first_key").alias("first_key"),
@@ -215,42 +210,25 @@ def page(results: DataFrame, page_no: int = 1, size: int = PAGE_SIZE) -> DataFra
             .filter((F.col("rank") <= hi) & (F.col("rank") > lo)))
 
 
-def with_snippet(results: DataFrame, docs: DataFrame, line_break: bool = True,
-                 small_results: bool = False) -> DataFrame:
+def with_snippet(results: DataFrame, docs: DataFrame, line_break: bool = True) -> DataFrame:
     """Q14: add the 21-word snippet at each result's location ('' if the
     document is absent).
 
-    ``small_results`` (a page, whose size the caller has bounded): the
-    results are broadcast into an inner join with the documents, so the
-    corpus is streamed once and never shuffled; the snippets are then
-    attached to the results with a join of two small sides.  Otherwise a
-    left join on doc_id (both sides shuffled, as for any large join)."""
-    d = docs.select("doc_id", F.col("text").alias("_text"))
-    if small_results:
-        keys = F.broadcast(results.select("query_id", "doc_id", "location"))
-        found = d.join(keys, "doc_id").select(
-            "query_id", "doc_id", snippet("_text", "location", line_break).alias("snippet"))
-        return results.join(found, ["query_id", "doc_id"], "left").withColumn(
-            "snippet", F.coalesce("snippet", F.lit("")))
-    joined = results.join(d, "doc_id", "left")
-    return joined.withColumn(
-        "snippet", F.when(F.col("_text").isNull(), F.lit("")).otherwise(
-            snippet("_text", "location", line_break))).drop("_text")
+    One plan for any number of results: the documents that have a result are
+    picked first, with the distinct locations asked of them, so a text is cut
+    once per location however many queries found it, and only snippets, not
+    texts, go on to the results."""
+    asked = (results.groupBy("doc_id").agg(F.collect_set("location").alias("_at")))
+    made = (docs.select("doc_id", F.col("text").alias("_text")).join(asked, "doc_id")
+            .select("doc_id", "_text", F.explode("_at").alias("location"))
+            .select("doc_id", "location", snippet("_text", "location", line_break).alias("snippet")))
+    return results.join(made, ["doc_id", "location"], "left").withColumn(
+        "snippet", F.coalesce("snippet", F.lit("")))
 
 
 def search_report(index: Index, queries: DataFrame, page_no: int = 1,
                   size: int = PAGE_SIZE) -> DataFrame:
-    """Q15: one page per query: rank, document, score and snippet.  A page
-    holds at most ``size`` rows per query, so counting the workload (not the
-    results) bounds it before it is broadcast."""
+    """Q15: one page per query: rank, document, score and snippet."""
     top = page(search(index, queries), page_no, size)
-    small = queries.count() * size <= BROADCAST_MAX_ROWS
-    return with_snippet(top, index.docs, small_results=small).select(
+    return with_snippet(top, index.docs).select(
         "query_id", "rank", "doc_id", "score", "location", "snippet")
-
-
-def search_one(index: Index, query: str, spark=None) -> DataFrame:
-    """A single interactive query is a one-row workload."""
-    spark = spark or index.docs.sparkSession
-    q = spark.createDataFrame([(0, query)], "query_id bigint, query string")
-    return search(index, q)

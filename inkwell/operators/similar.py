@@ -7,11 +7,11 @@ term); at the anchor's first occurrence in every document the term between
 it and the other context term is a candidate.  Candidates are counted.
 ``mode="all"`` uses every occurrence instead of first occurrences.
 
-Neighbour terms come from lag/lead over each document's postings, which
-inherit the corpus' doc_id partitioning (a sort, no shuffle); first
-occurrences come from a struct sort inside each document's term array (a
-narrow map).  ``mode="all"`` pre-aggregates trigram counts map-side and
-reads the word's contexts off the same aggregate.
+Neighbour terms come from shifted copies of each document's term array and
+first occurrences from a struct sort inside it: narrow maps over the input
+splits.  The contexts of the asked words are found and stored first; the
+planner then knows their size, and only rows that meet one of them leave
+their task.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.text import term_positions
 from inkwell.operators.postings import term_counts
-from inkwell.plans.joins import bounded_broadcast
+from inkwell.session import stored
 
 PAGE_SIZE = 10
 # Fixed value: a candidate is listed only if it has a character other than a digit.
@@ -57,17 +57,9 @@ def _context_arrays(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def neighbours(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Every term position with the terms 1 and 2 before and after.
-
-    lag/lead over (doc_id order by pos): postings inherit the documents'
-    doc_id hash partitioning, so the window needs a sort but no shuffle."""
-    from inkwell.operators.postings import build_postings
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    t = F.col("term")
-    return build_postings(docs, text_col).select(
-        "doc_id", "pos", "wpos", "term",
-        F.lag(t, 2).over(w).alias("prev2"), F.lag(t, 1).over(w).alias("prev1"),
-        F.lead(t, 1).over(w).alias("next1"), F.lead(t, 2).over(w).alias("next2"))
+    """Every term position with the terms 1 and 2 before and after."""
+    return _context_arrays(docs, text_col).select("doc_id", F.inline("ctx")).select(
+        "doc_id", "pos", "wpos", "term", "prev2", "prev1", "next1", "next2")
 
 
 def first_occurrence_contexts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -91,8 +83,7 @@ def word_contexts(docs: DataFrame, words: DataFrame, mode: str = "first") -> Dat
     """Distinct (word, pre, post) around the word (first occurrence per
     document, or every occurrence); document edges have no pair."""
     src = first_occurrence_contexts(docs) if mode == "first" else neighbours(docs)
-    w = bounded_broadcast(words.select(F.col("word").alias("term")).distinct())
-    return (src.join(w, "term")
+    return (src.join(words.select(F.col("word").alias("term")).distinct(), "term")
             .filter(F.col("prev1").isNotNull() & F.col("next1").isNotNull())
             .select(F.col("term").alias("word"), F.col("prev1").alias("pre"),
                     F.col("next1").alias("post")).distinct())
@@ -122,18 +113,18 @@ def similar_candidates(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     Each first occurrence is offered once per side (pre: other = next2,
     candidate = next1; post: other = prev2, candidate = prev1), so one
     equi-join on (anchor, side, other) serves both sides in a single pass.
-    No explicit size check on the anchors (it would cost a corpus pass): they
-    reach the join through a shuffle, and AQE broadcasts them at run time
-    when small, otherwise keeps a sort-merge join."""
-    occ = first_occurrence_contexts(docs)
+    The anchors are stored first: first occurrences of other terms are
+    dropped by a semi-join before they are doubled, both with a side whose
+    size the planner knows."""
+    a = stored(anchors.select("word", "pre", "post", "side", F.col("anchor").alias("term"),
+                              F.when(F.col("side") == "pre", F.col("post"))
+                              .otherwise(F.col("pre")).alias("other")), "anchors")
+    occ = first_occurrence_contexts(docs).join(a.select("term").distinct(), "term", "left_semi")
     sides = occ.select("doc_id", "term", F.inline(F.array(
         F.struct(F.lit("pre").alias("side"), F.col("next2").alias("other"),
                  F.col("next1").alias("candidate")),
         F.struct(F.lit("post").alias("side"), F.col("prev2").alias("other"),
                  F.col("prev1").alias("candidate")))))
-    a = anchors.select("word", "pre", "post", "side", F.col("anchor").alias("term"),
-                       F.when(F.col("side") == "pre", F.col("post"))
-                       .otherwise(F.col("pre")).alias("other"))
     return (sides.join(a, ["term", "side", "other"])
             .filter(F.col("candidate") != F.col("word"))
             .select("word", "pre", "post", "side", "doc_id", "candidate"))
@@ -152,15 +143,15 @@ def similar_words(docs: DataFrame, words: DataFrame, stats: DataFrame | None = N
         return cand.groupBy("word", "candidate").agg(F.count("*").alias("n"))
     if mode != "all":
         raise ValueError(f"unknown mode {mode!r}")
-    # Trigram counts, combined map-side; the word's contexts are read off the
-    # same aggregate (one pass over the corpus, the exchange is reused).  The
-    # context side is left to AQE: broadcast at run time when it is small,
-    # otherwise a sort-merge join with skew splitting.
-    tri = neighbours(docs).filter(F.col("prev1").isNotNull() & F.col("next1").isNotNull())
-    counts = tri.groupBy(F.col("prev1").alias("pre"), F.col("next1").alias("post"),
-                         F.col("term").alias("candidate")).agg(F.count("*").alias("n"))
-    w = bounded_broadcast(words.select(F.col("word").alias("candidate")).distinct())
-    ctx = counts.join(w, "candidate").select(F.col("candidate").alias("word"), "pre", "post")
+    # The word's contexts first (stored, so their size is known); then only
+    # trigrams in one of them are counted.
+    tri = neighbours(docs).select(F.col("prev1").alias("pre"), F.col("next1").alias("post"),
+                                  F.col("term").alias("candidate")).dropna(subset=["pre", "post"])
+    asked = words.select(F.col("word").alias("candidate")).distinct()
+    ctx = stored(tri.join(asked, "candidate").select(F.col("candidate").alias("word"), "pre", "post")
+                 .distinct(), "contexts")
+    counts = (tri.join(ctx.select("pre", "post").distinct(), ["pre", "post"], "left_semi")
+              .groupBy("pre", "post", "candidate").agg(F.count("*").alias("n")))
     hits = counts.join(ctx, ["pre", "post"]).filter(F.col("candidate") != F.col("word"))
     return hits.groupBy("word", "candidate").agg(F.sum("n").alias("n"))
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import normalize_term
-from inkwell.plans.asof import DEFAULT_BUCKET_WIDTH, last_value_before
+from inkwell.plans.asof import last_value_before
 
 # Fixed values of the suggestion rule.
 MAX_DISTANCE = 3
@@ -30,7 +30,7 @@ def is_single_word(q) -> F.Column:
     return ~col.contains(" ") & ~col.startswith("!")
 
 
-def previous_query(log: DataFrame, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+def previous_query(log: DataFrame, bucket_width: int | None = None) -> DataFrame:
     """(session_id, ts, query, prev): the latest earlier single-word query
     of the session (multi-word queries are skipped, not resets)."""
     d = log.select("session_id", "ts", "query", F.lit(0).alias("_seq"),
@@ -60,7 +60,7 @@ def dominates(pairs: DataFrame, stats: DataFrame, ratio: float = RATIO) -> DataF
 
 
 def mine_corrections(log: DataFrame, stats: DataFrame, max_distance: int = MAX_DISTANCE,
-                     ratio: float = RATIO, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                     ratio: float = RATIO, bucket_width: int | None = None) -> DataFrame:
     """(session_id, ts, word, correction, distance) recorded corrections."""
     pairs = previous_query(log, bucket_width).filter(
         is_single_word("query") & F.col("prev").isNotNull())
@@ -80,7 +80,7 @@ def latest_corrections(corrections: DataFrame) -> DataFrame:
 
 
 def suggest(log: DataFrame, stats: DataFrame, max_distance: int = MAX_DISTANCE,
-            ratio: float = RATIO, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+            ratio: float = RATIO, bucket_width: int | None = None) -> DataFrame:
     """P5: (session_id, ts, query, suggestion) for queries with a correction
     recorded at or before them in the session for exactly their text."""
     corr = mine_corrections(log, stats, max_distance, ratio, bucket_width)

@@ -11,7 +11,10 @@ one task.  Here the key's timeline is cut into ``ts`` buckets:
 4. each row takes (1), or (3) when its bucket has nothing earlier.
 
 Groups in step 1 hold at most one bucket of rows; step 3 sees one row per
-bucket, far fewer than the rows themselves.
+bucket, far fewer than the rows themselves.  The bucket width is taken from
+the range and the number of the timestamps unless it is given.  Null keys are
+a key like any other, and rows without a timestamp come before all others of
+their key.
 """
 
 from __future__ import annotations
@@ -19,13 +22,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_WIDTH = 1 << 20
+# Rows a bucket holds on average when its width is taken from the data.
+BUCKET_ROWS = 10_000
 
 
 def last_value_before(df: DataFrame, keys: list[str], ts: str, seq: str, value: str,
-                      out: str, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                      out: str, bucket_width: int | None = None) -> DataFrame:
     """Add ``out``: the last non-null ``value`` of an earlier row of the same
     keys, in (ts, seq) order."""
+    if bucket_width is None:
+        low, high, n = df.agg(F.min(ts), F.max(ts), F.count(ts)).first()
+        bucket_width = max(1, (high - low) * BUCKET_ROWS // n) if n else 1
     d = df.withColumn("_b", F.floor(F.col(ts) / F.lit(bucket_width)))
     inside = (Window.partitionBy(*keys, "_b").orderBy(ts, seq)
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -36,6 +43,9 @@ def last_value_before(df: DataFrame, keys: list[str], ts: str, seq: str, value:
                .rowsBetween(Window.unboundedPreceding, -1))
     summary = summary.select(*keys, "_b", F.last(F.col("_last")[value], ignorenulls=True)
                              .over(earlier).alias("_carry"))
-    return (d.join(summary, [*keys, "_b"])
+    names = [*keys, "_b"]
+    summary = summary.withColumnsRenamed({k: f"_s_{k}" for k in names})
+    same = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in names]
+    return (d.join(summary, same)
             .withColumn(out, F.coalesce("_local", "_carry"))
-            .drop("_b", "_local", "_carry"))
+            .drop("_b", "_local", "_carry", *[f"_s_{k}" for k in names]))

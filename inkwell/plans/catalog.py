@@ -19,13 +19,12 @@ from inkwell.functions import signatures as SG
 from inkwell.operators import changes as C
 from inkwell.sources import corpus as CO
 from inkwell.streaming import live_index as LS
-from inkwell.streaming import metrics as MT
 from inkwell.streaming import suggest as PS
 from inkwell.operators import fuzzy as E
 from inkwell.operators import live as L
 from inkwell.operators import spelling as SP
 from inkwell.operators import similar as W
-from inkwell.session import work_dir
+from inkwell.session import stored, work_dir
 from inkwell.operators import stats as A
 from inkwell.sources import workloads as WL
 
@@ -315,8 +314,10 @@ def q_merged_search(spark, sf_dir):
 def _log_inputs(spark, sf_dir):
     docs = WL.documents(spark, sf_dir)
     stats = P.term_stats(P.build_postings(docs), docs)
-    events = WL.read_table(spark, sf_dir, "events")
-    return WL.query_log(events, stats), stats
+    stats = stored(stats, "log-stats")
+    log = WL.query_log(WL.read_table(spark, sf_dir, "events"), stats,
+                       WL.read_table(spark, sf_dir, "conversations"))
+    return log, stats
 
 
 def _pairs(spark, sf_dir):
@@ -369,14 +370,17 @@ def q_edit_distance_weighted(spark, sf_dir):
 
 @register("fuzzy_match")
 def q_fuzzy_match(spark, sf_dir):
-    log, stats = _log_inputs(spark, sf_dir)
-    vocab = stats.filter(F.col("term").rlike("^[a-z]+$")).select("term")
-    return E.fuzzy_match(log.select(F.col("query").alias("word")), vocab, max_distance=2)
+    """The words of the benchmark passages against the whole vocabulary."""
+    bench = WL.read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    words = P.build_postings(bench).select(F.col("term").alias("word")).distinct()
+    docs = WL.documents(spark, sf_dir)
+    vocab = P.build_postings(docs).select("term").distinct()
+    return E.fuzzy_match(words, vocab, max_distance=2)
 
 
 # --- step 5: corpus sources and sinks ---------------------------------------
 def _xml_records(spark, sf_dir):
-    docs = WL.spread_by_doc(WL.read_table(spark, sf_dir, "documents"))
+    docs = WL.read_table(spark, sf_dir, "documents")
     path = work_dir(spark, "xml")
     CO.write_xml_docs(CO.docs_as_xml_records(docs), path)
     return CO.read_xml_docs(spark, path)
@@ -401,13 +405,13 @@ def q_compose_body(spark, sf_dir):
 
 @register("build_docs")
 def q_build_docs(spark, sf_dir):
-    return CO.build_docs(_xml_records(spark, sf_dir), ["file_mtime", "file_path"])
+    return CO.build_docs(_xml_records(spark, sf_dir), ["file_path"])
 
 
 @register("write_docs")
 def q_write_docs(spark, sf_dir):
     path = work_dir(spark, "docstore")
-    CO.write_docs(CO.build_docs(_xml_records(spark, sf_dir), ["file_mtime", "file_path"]), path)
+    CO.write_docs(CO.build_docs(_xml_records(spark, sf_dir), ["file_path"]), path)
     return spark.read.parquet(path)
 
 
@@ -432,8 +436,8 @@ def q_parse_changes(spark, sf_dir):
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("DOCNO"),
         F.concat(F.lit("T "), F.col("doc_id").cast("string")).alias("TITLE"),
         F.lit("").alias("AUTHOR"), F.lit("").alias("BIBLIO"), F.col("text").alias("TEXT"))
-    rows = records.select(CO.xml_text(records).alias("content"))
-    return CO.build_docs(CO.parse_xml_column(rows))
+    rows = records.select(CO.xml_text(records).alias("content"), F.col("DOCNO").alias("path"))
+    return CO.build_docs(CO.parse_xml_column(rows), ["path"])
 
 
 # --- step 10: change detection -----------------------------------------------
@@ -456,22 +460,25 @@ def q_signatures_checksum(spark, sf_dir):
     return C.content_signatures(_files(spark, sf_dir), "checksum")
 
 
+@register("signatures_sha512")
+def q_signatures_sha512(spark, sf_dir):
+    return C.content_signatures(_files(spark, sf_dir), "SHA-512")
+
+
 @register("signatures_mtime")
 def q_signatures_mtime(spark, sf_dir):
-    path = work_dir(spark, "files")
-    WL.documents(spark, sf_dir).select("text").write.mode("overwrite").text(path)
-    return C.file_signatures(spark, path, "mtime", glob="*.txt")
+    """Every file of the given tables, by name, with its modification time."""
+    files = C.file_signatures(spark, sf_dir, "mtime", glob="*.parquet")
+    return files.withColumn("path", F.regexp_extract("path", "[^/]+$", 0))
 
 
 @register("watch_set")
 def q_watch_set(spark, sf_dir):
-    docs = WL.spread_by_doc(WL.read_table(spark, sf_dir, "documents"))
+    docs = WL.read_table(spark, sf_dir, "documents")
     methods = F.create_map(*[F.lit(x) for pair in WL.LANG_METHODS for x in pair])
-    files = WL.doc_files(docs).join(
-        docs.select(F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
-                    methods[F.col("lang")].alias("method")), "path")
-    ws = C.watch_set(files).join(files.select("path", "content"), "path")
-    return C.content_signatures(ws)
+    files = docs.select(F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
+                        F.col("text").alias("content"), methods[F.col("lang")].alias("method"))
+    return C.content_signatures(C.watch_set(files))
 
 
 def _snapshots(spark, sf_dir):
@@ -512,44 +519,68 @@ def q_publish_changes(spark, sf_dir):
 
 # --- step 11: streaming --------------------------------------------------------
 def _change_log_from_delta(spark, docs, log_path):
-    """Publish the delta fixture as change-log files, one publisher batch per
-    index_seq (content = new text)."""
+    """Publish the delta fixture as change-log files: one publisher batch per
+    index_seq, several files each; new texts as DOC elements."""
     delta = WL.delta_docs(docs)
-    seqs = sorted({r[0] for r in WL.DELTA_RULES})
-    for seq in seqs:
-        part = delta.filter(F.col("index_seq") == seq).select(
-            "path", F.lit("changed").alias("change"), F.col("text").alias("content"),
-            SG.signature("text", "MD5").alias("signature"), F.lit(seq).cast("bigint").alias("batch"))
-        part.coalesce(1).write.mode("append").parquet(log_path)
-
-
-def _run_indexer(spark, sf_dir, threshold):
+    for seq in sorted({r[0] for r in WL.DELTA_RULES}):
+        part = delta.filter(F.col("index_seq") == seq)
+        xml = part.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("DOCNO"),
+                          F.lit("").alias("TITLE"), F.lit("").alias("AUTHOR"), F.lit("").alias("BIBLIO"),
+                          F.col("text").alias("TEXT"), "path")
+        rows = xml.select("path", F.lit("changed").alias("change"), CO.xml_text(xml).alias("content"),
+                          SG.signature("TEXT", "MD5").alias("signature"),
+                          F.lit(seq).cast("bigint").alias("batch"))
+        rows.repartition(3, "path").write.mode("append").parquet(log_path)
+
+
+def _publish_removals(docs, log_path):
+    """Tombstones as the last publisher batch."""
+    gone = WL.tombstones(docs).select(
+        F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".xml")).alias("path"),
+        F.lit("removed").alias("change"), F.lit(None).cast("string").alias("content"),
+        F.lit(None).cast("string").alias("signature"),
+        F.lit(1 + max(r[0] for r in WL.DELTA_RULES)).cast("bigint").alias("batch"))
+    gone.repartition(2, "path").write.mode("append").parquet(log_path)
+
+
+def _run_indexer(spark, sf_dir, threshold, removals=False):
     docs = WL.documents(spark, sf_dir)
     base = work_dir(spark, "live")
     log = f"{base}/changelog"
     _change_log_from_delta(spark, docs, log)
+    if removals:
+        _publish_removals(docs, log)
     indexer = LS.LiveIndexer(spark, base, threshold=threshold)
     indexer.init_main(docs)
-    q = LS.run_live_indexer(indexer, log, f"{base}/checkpoint", files_per_batch=1)
+    q = LS.run_live_indexer(indexer, log, f"{base}/checkpoint", files_per_batch=4)
     return indexer, q
 
 
 @register("live_index_stream")
 def q_live_index_stream(spark, sf_dir):
     indexer, _ = _run_indexer(spark, sf_dir, threshold=1 << 30)
-    return indexer.latest().select("doc_id", "text", "index_seq", "path")
+    # A DOC element's body is title, text and author joined by line ends.
+    return indexer.latest().select("doc_id", F.regexp_replace("text", r"\A\n|\n\z", "").alias("text"),
+                                   "index_seq", "path")
+
+
+@register("live_stream_removals")
+def q_live_stream_removals(spark, sf_dir):
+    """XML changes and removals, streamed; searched without a merge."""
+    indexer, _ = _run_indexer(spark, sf_dir, threshold=1 << 30, removals=True)
+    return indexer.search(WL.workload(spark))
 
 
 @register("stream_merge")
 def q_stream_merge(spark, sf_dir):
     indexer, _ = _run_indexer(spark, sf_dir, threshold=L.DEFAULT_MERGE_THRESHOLD)
-    return S.search(indexer.live(), WL.workload(spark))
+    return indexer.search(WL.workload(spark))
 
 
 @register("metrics")
 def q_metrics(spark, sf_dir):
-    _, q = _run_indexer(spark, sf_dir, threshold=L.DEFAULT_MERGE_THRESHOLD)
-    return MT.progress_metrics(spark, q, "live_index_stream")
+    indexer, _ = _run_indexer(spark, sf_dir, threshold=L.DEFAULT_MERGE_THRESHOLD)
+    return indexer.timings()
 
 
 @register("suggest_stream")

@@ -1,8 +1,9 @@
-"""Join helpers with explicit size checks.
+"""Joins between data that grows with the corpus and a workload.
 
-A side is broadcast only after counting it against a row bound; above the
-bound the join is left to the planner (sort-merge, or a runtime broadcast by
-AQE when the materialised side turns out small).
+One plan whatever the sizes: the planner broadcasts the smaller side if its
+own estimate (a local table, a stored file) is below the session's broadcast
+threshold, and adaptive execution does so at run time.  If neither does, the
+salt spreads each key of the large side over several tasks.
 """
 
 from __future__ import annotations
@@ -10,31 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound for explicit broadcasts: a workload of query terms or a page of
-# results, never data that grows with the corpus.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def fan_out(df: DataFrame, name: str, values: list, chunk: int = 10_000) -> DataFrame:
-    """Pair every row of ``df`` with each of ``values`` (a small workload list).
-
-    Used where the result itself is every row times every value (queries that
-    return all documents).  The list is split into chunks so a long list
-    never becomes one huge literal.
-    """
-    if not values:
-        return df.withColumn(name, F.lit(None).cast("bigint")).limit(0)
-    parts = []
-    for i in range(0, len(values), chunk):
-        lits = F.array(*[F.lit(v) for v in values[i:i + chunk]])
-        parts.append(df.withColumn(name, F.explode(lits)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+# Tasks a single key of the large side is spread over in a shuffled join.
+SALTS = 16
+
+
+def _salted(large: DataFrame, small: DataFrame, spread_by: str, salts: int) -> tuple[DataFrame, DataFrame]:
+    return (large.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")),
+            small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+
+
+def salted_join(large: DataFrame, small: DataFrame, on: list[str], spread_by: str,
+                salts: int = SALTS) -> DataFrame:
+    """Inner equi-join on the columns ``on``; the salt is taken from the large
+    side's column ``spread_by``, the small side is repeated per salt."""
+    a, b = _salted(large, small, spread_by, salts)
+    return a.join(b, [*on, "_salt"]).drop("_salt")
+
+
+def every_pair(large: DataFrame, small: DataFrame, spread_by: str, salts: int = SALTS) -> DataFrame:
+    """Every row of ``large`` with every row of ``small``: for queries that
+    return all documents, where the pairs are the result."""
+    return salted_join(large, small, [], spread_by, salts)

@@ -8,8 +8,9 @@ generated from the Spark plans.
 
 from __future__ import annotations
 
-from inkwell.sources.workloads import (DELTA_RULES, LOG_MIN_FREQ, LOG_MOD, LOG_MULT,
-                                       LANG_METHODS, LOOKUP_PHRASES, SIMILAR_WORDS, TOMBSTONE_MOD, TOMBSTONE_REM, WORKLOAD)
+from inkwell.sources.workloads import (DELTA_RULES, LANG_METHODS, LOG_CONVERSATIONS, LOG_MULT, LOG_REPEAT,
+                                       LOG_SESSION,
+                                       LOOKUP_PHRASES, SIMILAR_WORDS, TOMBSTONE_MOD, TOMBSTONE_REM, WORKLOAD)
 
 
 def _sql_str(s: str) -> str:
@@ -163,7 +164,7 @@ EXT_WORKLOAD_CTE = WORKLOAD_CTE.replace("queries(", "fixed_queries(", 1) + """,
 queries AS (
   SELECT query_id, query FROM fixed_queries
   UNION ALL SELECT 1000000 + item_id, '"' || text || '"' FROM benchmark
-  UNION ALL SELECT 2000000 + conv_id * 1000 + turn, text FROM conversations WHERE role = 'user'
+  UNION ALL SELECT 2000000 + conv_id * 1000 + turn, text FROM conversations
 )"""
 ORACLES["query_terms"] = _with(EXT_WORKLOAD_CTE, query_terms_cte()) + """
 SELECT query_id, term_no, negated, n_words, "offset", word FROM qt"""
@@ -364,16 +365,28 @@ def _norm(x: str) -> str:
     return f"regexp_replace(lower({x}), {TERM_RE}, '', 'g')"
 
 
+# levenshtein() counts bytes: each letter beyond ASCII becomes a control
+# character, which no word holds.
+_LETTERS = "äçèéêíñóößüÄÇÈÉÊÍÑÓÖÜ"
+_STAND_INS = "".join(chr(i) for i in (*range(1, 9), *range(14, 32)))[:len(_LETTERS)]
+_BYTES = " || ".join(f"chr({ord(c)})" for c in _STAND_INS)
+
+
+def _lev(a: str, b: str) -> str:
+    one = [f"translate({x}, '{_LETTERS}', {_BYTES})" for x in (a, b)]
+    return f"levenshtein({one[0]}, {one[1]})"
+
+
 SINGLE = "(query NOT LIKE '% %' AND NOT starts_with(query, '!'))"
 QLOG = f"""
 cf AS (SELECT term, count(*) AS cf FROM postings GROUP BY term),
-vocab AS (
-  SELECT term AS word, row_number() OVER (ORDER BY cf DESC, term) - 1 AS rank
-  FROM cf WHERE regexp_matches(term, '^[a-z]{{2,}}$') AND cf >= {LOG_MIN_FREQ}
-),
+vocab AS (SELECT term AS word, row_number() OVER (ORDER BY cf DESC, term) - 1 AS rank FROM cf),
 qlog AS (
-  SELECT e.user_id AS session_id, e.event_id AS ts, v.word AS query
-  FROM events e JOIN vocab v ON v.rank = (e.event_id * {LOG_MULT}) % {LOG_MOD}
+  SELECT e.event_id // {LOG_SESSION} AS session_id, e.event_id AS ts,
+         CASE WHEN e.event_id % 2 = 0 THEN substr(v.word, 1, 1) || substr(v.word, 3) ELSE v.word END AS query
+  FROM events e JOIN vocab v ON v.rank = ((e.event_id // {LOG_REPEAT}) * {LOG_MULT}) % (SELECT count(*) FROM cf)
+  UNION ALL
+  SELECT conv_id + {LOG_CONVERSATIONS}, turn, text FROM conversations
 ),
 prevq AS (
   SELECT session_id, ts, query,
@@ -388,8 +401,8 @@ dom AS (
   FROM pairs p LEFT JOIN cf a ON a.term = {_norm('p.prev')} LEFT JOIN cf b ON b.term = {_norm('p.query')}
 ),
 corr AS (
-  SELECT session_id, ts, prev AS word, query AS correction, CAST(levenshtein(prev, query) AS INTEGER) AS distance
-  FROM dom WHERE dominates AND levenshtein(prev, query) <= 3
+  SELECT session_id, ts, prev AS word, query AS correction, CAST({_lev('prev', 'query')} AS INTEGER) AS distance
+  FROM dom WHERE dominates AND {_lev('prev', 'query')} <= 3
 )"""
 SPELL = _with(tokenize_cte(), QLOG)
 ORACLES["previous_query"] = SPELL + "\nSELECT session_id, ts, query, prev FROM prevq"
@@ -403,13 +416,15 @@ SELECT * FROM (
          (SELECT arg_max(c.correction, c.ts) FROM corr c
           WHERE c.session_id = q.session_id AND c.word = q.query AND c.ts <= q.ts) AS suggestion
   FROM qlog q) WHERE suggestion IS NOT NULL"""
-ORACLES["edit_distance"] = SPELL + """
-SELECT session_id, ts, prev, query, CAST(levenshtein(prev, query) AS INTEGER) AS distance FROM pairs"""
-ORACLES["fuzzy_match"] = SPELL + """
-SELECT w.word, v.term AS match, CAST(levenshtein(w.word, v.term) AS INTEGER) AS distance
-FROM (SELECT DISTINCT query AS word FROM qlog) w
-JOIN (SELECT term FROM cf WHERE regexp_matches(term, '^[a-z]+$')) v
-  ON abs(length(w.word) - length(v.term)) <= 2 AND levenshtein(w.word, v.term) <= 2"""
+ORACLES["edit_distance"] = SPELL + f"""
+SELECT session_id, ts, prev, query, CAST({_lev('prev', 'query')} AS INTEGER) AS distance FROM pairs"""
+ORACLES["fuzzy_match"] = _with(
+    tokenize_cte(), "bench AS (SELECT item_id AS doc_id, text FROM benchmark)",
+    tokenize_cte("bench", "bench_postings")) + f"""
+SELECT w.word, v.term AS match, CAST({_lev('w.word', 'v.term')} AS INTEGER) AS distance
+FROM (SELECT DISTINCT term AS word FROM bench_postings) w
+JOIN (SELECT DISTINCT term FROM postings) v
+  ON abs(length(w.word) - length(v.term)) <= 2 AND {_lev('w.word', 'v.term')} <= 2"""
 
 
 # --- step 5: corpus ----------------------------------------------------------
@@ -464,8 +479,7 @@ SELECT path, method, CASE method WHEN 'MD5' THEN {_sig('MD5', 'content')}
                                WHEN 'SHA-1' THEN {_sig('SHA-1', 'content')}
                                WHEN 'SHA-256' THEN {_sig('SHA-256', 'content')}
                                WHEN 'checksum' THEN {_sig('checksum', 'content')} END AS signature
-FROM (SELECT path, content, coalesce({_LANG_CASE}, 'MD5') AS method FROM files
-      WHERE {_LANG_CASE} IS NOT NULL)"""
+FROM (SELECT path, content, coalesce({_LANG_CASE}, 'MD5') AS method FROM files)"""
 SNAP = DELTA + f""",
 old_sig AS (SELECT 'docs/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, {_sig('MD5', 'text')} AS signature FROM documents),
 new_files AS (SELECT 'docs/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, text AS content FROM live_docs
@@ -492,7 +506,14 @@ FROM diff d LEFT JOIN new_files f ON d.path = f.path WHERE d.change IS NOT NULL"
 
 # --- step 11: streaming (final state equals the batch operators) -------------
 ORACLES["live_index_stream"] = ORACLES["latest_delta"]
-ORACLES["stream_merge"] = ORACLES["live_search"]
+# Streamed texts are bodies of DOC elements: empty title, text, empty author.
+_STREAMED = DELTA.replace("UNION ALL SELECT doc_id, text FROM latest",
+                          "UNION ALL SELECT doc_id, chr(10) || text || chr(10) AS text FROM latest")
+ORACLES["stream_merge"] = _with(
+    _STREAMED, tokenize_cte("live_docs", "postings"), WORKLOAD_CTE, query_terms_cte(),
+    search_ctes(docs="live_docs")) + "\nSELECT query_id, doc_id, score, location FROM results"
+ORACLES["live_stream_removals"] = (
+    ORACLES["stream_merge"] + f" WHERE doc_id % {TOMBSTONE_MOD} <> {TOMBSTONE_REM}")
 ORACLES["suggest_stream"] = ORACLES["suggest"]
 
 ORACLES["search_benchmark"] = _with(

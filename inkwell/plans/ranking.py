@@ -36,6 +36,7 @@ def distributed_row_number(df: DataFrame, group: str, order: list[Column],
         Window.unboundedPreceding, -1)
     summary = summary.withColumn(
         "_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    out = s.join(summary, [group, "_pid"]).withColumn(
+    summary = summary.withColumnsRenamed({group: "_group", "_pid": "_part"})
+    out = s.join(summary, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_pid") == F.col("_part"))).withColumn(
         name, (F.col("_loc") - F.col("_first") + F.col("_before") + 1).cast("int"))
-    return out.drop("_mid", "_pid", "_loc", "_first", "_n", "_before")
+    return out.drop("_mid", "_pid", "_loc", "_first", "_n", "_before", "_group", "_part")

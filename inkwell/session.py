@@ -13,7 +13,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -77,6 +77,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only if unset."""
     root = checkpoint_root(spark)
     if root is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="inkwell-ckpt-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -86,12 +89,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for one job's output."""
     root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/inkwell/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{root.rstrip('/')}/inkwell/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: the planner
+    knows its size, later readers see fixed rows, and lost executors cost no
+    more than a read."""
+    path = f"{work_dir(df.sparkSession, name)}/t"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -63,19 +63,25 @@ def parse_xml_column(df: DataFrame, content_col: str = "content") -> DataFrame:
     return _blank_to_empty(out)
 
 
-def build_docs(records: DataFrame, order_cols: list[str] | None = None) -> DataFrame:
+def build_docs(records: DataFrame, order_cols: list[str] | None = None,
+               keep_cols: list[str] | None = None) -> DataFrame:
     """docs(doc_id, title, author, text, doc_length) from DOC records;
-    with several records for one DOCNO the last (by ``order_cols``) wins."""
+    with several records for one DOCNO the last (by ``order_cols``, e.g. the
+    file path) wins.  Records without a number in their DOCNO are different
+    documents without an id: all of them stay.  ``keep_cols`` (without an
+    order) are carried along."""
     d = records.select(
         normalize_docno("DOCNO").alias("doc_id"),
         F.col("TITLE").alias("title"), F.col("AUTHOR").alias("author"),
         compose_body("TITLE", "TEXT", "AUTHOR").alias("text"),
-        *[F.col(c) for c in (order_cols or [])])
+        *[F.col(c) for c in (order_cols or keep_cols or [])])
     if order_cols:
-        newest = d.groupBy("doc_id").agg(
+        newest = d.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
             F.max(F.struct(*order_cols, "title", "author", "text")).alias("m"))
-        d = newest.select("doc_id", "m.title", "m.author", "m.text")
-    return d.select("doc_id", "title", "author", "text", doc_length("text").alias("doc_length"))
+        d = newest.select("doc_id", "m.title", "m.author", "m.text").unionByName(
+            d.filter(F.col("doc_id").isNull()).select("doc_id", "title", "author", "text"))
+    return d.select("doc_id", "title", "author", "text", doc_length("text").alias("doc_length"),
+                    *([] if order_cols else keep_cols or []))
 
 
 def write_docs(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -84,8 +90,12 @@ def write_docs(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_delta_docs(delta: DataFrame, path: str) -> None:
-    """Upsert a delta into the store partitioned by index_seq; dynamic
-    partition overwrite replaces only the partitions present, so replaying a
-    micro-batch rewrites the same partition instead of duplicating it."""
+    """Upsert a delta into the store partitioned by (index_seq,
+    stream_batch): the publisher's batch and the micro-batch that brought the
+    rows.  Dynamic partition overwrite replaces only the partitions present,
+    so a replayed micro-batch rewrites its own rows, and a publisher's batch
+    that arrives in several micro-batches keeps all of them."""
+    if "stream_batch" not in delta.columns:
+        delta = delta.withColumn("stream_batch", F.lit(0).cast("bigint"))
     (delta.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("index_seq").parquet(path))
+     .partitionBy("index_seq", "stream_batch").parquet(path))

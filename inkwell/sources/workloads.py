@@ -4,9 +4,10 @@ corpus (except the ten workload query strings, which are parameters)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.plans.ranking import distributed_row_number
 from inkwell.session import table_path
 
 # The query workload (query_id, query) used by tests and bench.
@@ -34,31 +35,23 @@ DELTA_RULES = [
 ]
 TOMBSTONE_MOD, TOMBSTONE_REM = 100, 9
 
-# Query-log rule.  Vocabulary words matching this pattern with at
-# least this collection frequency, ranked by frequency desc then word; event e
-# asks for the word at rank (event_id * 31) % 97.
-LOG_WORD_PATTERN = r"^[a-z]{2,}$"
-LOG_MIN_FREQ = 20
-LOG_MULT, LOG_MOD = 31, 97
+# Query-log rule.  All terms are ranked by frequency desc, then
+# term.  Events 4j to 4j + 3 ask for the term at rank (j * 31) mod (number of
+# terms): the even ones without its second character, the odd ones as it is.
+# Eight events in a row are a session.
+LOG_MULT, LOG_REPEAT, LOG_SESSION = 31, 4, 8
+# Conversations are sessions numbered from here on; every turn is a query.
+LOG_CONVERSATIONS = 1_000_000_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread_by_doc(df: DataFrame) -> DataFrame:
-    """Hash-partition a document table by doc_id over the shuffle partitions.
-
-    Input files may hold a whole corpus in one row group (one read task).
-    One shuffle of the compact text spreads tokenizing over every core, and
-    the doc_id partitioning then satisfies the later aggregations keyed on
-    (..., doc_id, ...) so they need no shuffle of their own."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, "doc_id")
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_by_doc(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """The corpus as it is stored: everything per document runs on the input
+    splits, and texts are never shuffled."""
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def workload(spark: SparkSession) -> DataFrame:
@@ -95,11 +88,11 @@ def benchmark_workload(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extended_workload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixed workload plus benchmark passages in quotes (kept with their
     line breaks, so multi-line ones exercise the unpaired-quote path of the
-    parser) and user turns of conversations as free-text queries."""
+    parser) and all turns of conversations as free-text queries."""
     bench = read_table(spark, sf_dir, "benchmark").select(
         (F.lit(1_000_000) + F.col("item_id")).alias("query_id"),
         F.concat(F.lit('"'), F.col("text"), F.lit('"')).alias("query"))
-    conv = read_table(spark, sf_dir, "conversations").filter(F.col("role") == "user").select(
+    conv = read_table(spark, sf_dir, "conversations").select(
         (F.lit(2_000_000) + F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"),
         F.col("text").alias("query"))
     return workload(spark).unionByName(bench).unionByName(conv)
@@ -136,26 +129,33 @@ def tombstones(docs: DataFrame) -> DataFrame:
 
 
 def log_vocabulary(stats: DataFrame) -> DataFrame:
-    """Vocabulary for the query log: (rank, word), ranked by frequency."""
-    w = Window.orderBy(F.desc("cf"), F.asc("term"))
-    cand = stats.filter(F.col("term").rlike(LOG_WORD_PATTERN) & (F.col("cf") >= LOG_MIN_FREQ))
-    # Only the first LOG_MOD ranks are addressable; keep them with a
-    # window group limit (top rows per task before the single sort).
-    return cand.withColumn("rn", F.row_number().over(w)).filter(
-        F.col("rn") <= LOG_MOD).select((F.col("rn") - 1).alias("rank"), F.col("term").alias("word"))
-
-
-def query_log(events: DataFrame, stats: DataFrame) -> DataFrame:
-    """query_log(session_id, ts, query) from events and the term statistics."""
-    vocab = F.broadcast(log_vocabulary(stats))  # at most LOG_MOD rows
-    ev = events.select(F.col("user_id").alias("session_id"),
+    """(rank, word): all terms, ranked by frequency desc then term from 0."""
+    ranked = distributed_row_number(stats.select(F.lit(0).alias("all"), "term", "cf"), "all",
+                                    [F.desc("cf"), F.asc("term")], "rn")
+    return ranked.select((F.col("rn") - 1).cast("bigint").alias("rank"), F.col("term").alias("word"))
+
+
+def query_log(events: DataFrame, stats: DataFrame, conversations: DataFrame | None = None) -> DataFrame:
+    """query_log(session_id, ts, query) from events and the term statistics,
+    and from all turns of conversations."""
+    n_terms = stats.agg(F.count(F.lit(1))).scalar()
+    vocab = log_vocabulary(stats)
+    ev = events.select(F.floor(F.col("event_id") / LOG_SESSION).cast("bigint").alias("session_id"),
                        F.col("event_id").alias("ts"),
-                       F.pmod(F.col("event_id") * LOG_MULT, F.lit(LOG_MOD)).alias("rank"))
-    return ev.join(vocab, "rank").select("session_id", "ts", F.col("word").alias("query"))
-
-
-# Per-file signature method by document language (watch set).
-LANG_METHODS = [("en", "MD5"), ("fr", "SHA-256"), ("de", "SHA-1"), ("es", "checksum")]
+                       F.pmod(F.floor(F.col("event_id") / LOG_REPEAT) * LOG_MULT, n_terms).cast("bigint").alias("rank"))
+    misspelt = F.concat(F.substring("word", 1, 1), F.substr("word", F.lit(3)))
+    log = ev.join(vocab, "rank").select(
+        "session_id", "ts", F.when(F.pmod("ts", F.lit(2)) == 0, misspelt).otherwise(F.col("word")).alias("query"))
+    if conversations is None:
+        return log
+    return log.unionByName(conversations.select(
+        (F.col("conv_id") + LOG_CONVERSATIONS).alias("session_id"), F.col("turn").alias("ts"),
+        F.col("text").alias("query")))
+
+
+# Per-file signature method by document language (watch set);
+# other languages take the default.
+LANG_METHODS = [("fr", "SHA-256"), ("de", "SHA-1"), ("es", "checksum")]
 
 
 def doc_files(docs: DataFrame) -> DataFrame:

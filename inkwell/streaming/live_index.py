@@ -4,25 +4,37 @@
   stream; each change row carries the publisher's batch number, which is its
   ``index_seq`` (arrival order, independent of how files group into
   micro-batches).
+* S3-S6: a change whose content is a DOC element is parsed; its number and
+  body come from the element.  Other contents are plain text, with the number
+  in the file name.  A removal has no content and is known by its file name.
 * L2/S9: ``foreachBatch`` writes the batch into the delta store partitioned
-  by index_seq with dynamic partition overwrite, so a replayed batch rewrites
-  its own partition instead of adding rows (exactly-once effect).
+  by (index_seq, micro-batch) with dynamic partition overwrite: a replayed
+  micro-batch rewrites its own rows, and a publisher's batch that spans
+  several files, hence several micro-batches, keeps all of its rows.
+* L9: every micro-batch and merge leaves its timing in the ``timings`` table.
 * L7/L8: when more distinct files than the threshold sit in the delta, the
   live view is written as the next main version, then a fresh delta folder
-  is started; a small pointer table records both, so a restarted job
-  resumes from the last switch.
+  is started; pointer ``v=N`` records both in a folder of its own, and a
+  restarted job resumes from the highest one that is complete.
 """
 
 from __future__ import annotations
 
+import time
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import normalize_docno
 from inkwell.operators.changes import CHANGE_LOG_SCHEMA
-from inkwell.operators.live import needs_merge
+from inkwell.operators.live import latest_delta, live_index, live_search, needs_merge
 from inkwell.operators.postings import Index, build_postings, read_index, write_index
-from inkwell.sources.corpus import write_delta_docs
+from inkwell.sources.corpus import build_docs, parse_xml_column, write_delta_docs
+from inkwell.streaming.metrics import METRICS_SCHEMA
+
+DELTA_SCHEMA = "doc_id bigint, text string, path string, change string, index_seq int, stream_batch bigint"
+POINTER_SCHEMA = "main_version int, delta_version int"
 
 
 def read_change_stream(spark: SparkSession, log_path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -37,6 +49,28 @@ def doc_id_of_path(path_col: str = "path"):
     return normalize_docno(F.regexp_extract(F.col(path_col), r"([^/]*)$", 1))
 
 
+def _if_there(read, otherwise):
+    """``read()``, or ``otherwise()`` if its path does not exist (yet); any
+    other error, such as a damaged file, is raised."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return otherwise()
+
+
+def delta_rows(changes: DataFrame) -> DataFrame:
+    """(doc_id, text, path, change, index_seq) of change rows."""
+    rows = changes.select("path", "change", "content", F.col("batch").cast("int").alias("index_seq"))
+    is_doc = F.coalesce(F.ltrim("content").startswith("<DOC"), F.lit(False))
+    xml = parse_xml_column(rows.filter(is_doc))
+    parsed = build_docs(xml, keep_cols=["path", "change", "index_seq"])
+    plain = rows.filter(~is_doc).select(doc_id_of_path("path").alias("doc_id"), F.col("content").alias("text"),
+                                        "path", "change", "index_seq")
+    return plain.unionByName(parsed.select("doc_id", "text", "path", "change", "index_seq"))
+
+
 class LiveIndexer:
     """State of the live index under ``base``: main versions and delta folders."""
 
@@ -56,60 +90,72 @@ class LiveIndexer:
         return f"{self.base}/delta/d={self.delta_version}"
 
     def _read_pointer(self):
-        try:
-            row = self.spark.read.json(f"{self.base}/pointer").first()
-            return (row["main_version"], row["delta_version"]) if row else None
-        except Exception:  # noqa: BLE001 - no pointer yet
-            return None
+        path = f"{self.base}/pointer"
+        rows = _if_there(lambda: self.spark.read.schema(f"{POINTER_SCHEMA}, v int").json(path), lambda: None)
+        row = rows.filter("main_version is not null").orderBy(F.desc("v")).first() if rows is not None else None
+        return (row["main_version"], row["delta_version"]) if row else None
 
     def _write_pointer(self) -> None:
-        self.spark.createDataFrame([(self.main_version, self.delta_version)],
-                                   "main_version int, delta_version int") \
-            .coalesce(1).write.mode("overwrite").json(f"{self.base}/pointer")
+        # Versions only grow, so their sum numbers the pointers.
+        v = self.main_version + self.delta_version
+        self.spark.createDataFrame([(self.main_version, self.delta_version)], POINTER_SCHEMA) \
+            .coalesce(1).write.mode("overwrite").json(f"{self.base}/pointer/v={v}")
+
+    def _note(self, name: str, batch_id: int, rows: int, began: float) -> None:
+        """One timing row in a folder of its own (a replay rewrites it)."""
+        ms = int((time.time() - began) * 1000)
+        self.spark.createDataFrame([(name, batch_id, rows, ms)], METRICS_SCHEMA) \
+            .coalesce(1).write.mode("overwrite").parquet(f"{self.base}/timings/step={name}-{batch_id}")
+
+    def timings(self) -> DataFrame:
+        """(name, batch_id, input_rows, duration_ms) of all steps so far."""
+        return self.spark.read.schema(METRICS_SCHEMA).parquet(f"{self.base}/timings").select(
+            "name", "batch_id", "input_rows", "duration_ms")
 
     def init_main(self, docs: DataFrame) -> None:
+        began = time.time()
         write_index(Index(docs=docs.select("doc_id", "text"),
                           postings=build_postings(docs.select("doc_id", "text"))),
                     self.main_path())
+        self._note("build", 0, self.main().docs.count(), began)
         self._write_pointer()
 
     # -- per micro-batch -----------------------------------------------------
+    def main(self) -> Index:
+        return read_index(self.spark, self.main_path())
+
     def delta(self) -> DataFrame:
-        try:
-            return self.spark.read.parquet(self.delta_path())
-        except Exception:  # noqa: BLE001 - empty delta
-            return self.spark.createDataFrame(
-                [], "doc_id bigint, text string, path string, change string, index_seq int")
+        return _if_there(lambda: self.spark.read.schema(DELTA_SCHEMA).parquet(self.delta_path()),
+                         lambda: self.spark.createDataFrame([], DELTA_SCHEMA))
 
     def latest(self) -> DataFrame:
-        d = self.delta()
-        newest = d.groupBy("doc_id").agg(F.max(F.struct("index_seq", "text", "path", "change")).alias("m"))
-        return newest.select("doc_id", "m.text", "m.index_seq", "m.path", "m.change")
+        return latest_delta(self.delta())
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(doc_id_of_path("path").alias("doc_id"), F.col("content").alias("text"),
-                            "path", "change", F.col("batch").cast("int").alias("index_seq"))
+        began = time.time()
+        rows = delta_rows(batch).withColumn("stream_batch", F.lit(batch_id).cast("bigint"))
         write_delta_docs(rows, self.delta_path())
+        self._note("delta", batch_id, self.delta().filter(F.col("stream_batch") == batch_id).count(), began)
         if needs_merge(self.delta(), self.threshold).first()["needs_merge"]:
-            self.merge()
+            self.merge(batch_id)
 
-    def merge(self) -> None:
+    def merge(self, batch_id: int = 0) -> None:
+        began = time.time()
         write_index(self.live(), self.main_path(self.main_version + 1))
+        self._note("merge", batch_id, self.delta().count(), began)
         self.main_version += 1
         self.delta_version += 1
         self.merges += 1
         self._write_pointer()
 
     def live(self) -> Index:
-        """The searchable view: current main version plus the current delta."""
-        main = read_index(self.spark, self.main_path())
-        latest = self.latest()
-        ids = latest.select("doc_id")
-        kept = latest.filter(F.col("change") != "removed").select("doc_id", "text")
-        docs = main.docs.select("doc_id", "text").join(ids, "doc_id", "left_anti").unionByName(kept)
-        postings = main.postings.select("doc_id", "pos", "wpos", "term").join(
-            ids, "doc_id", "left_anti").unionByName(build_postings(kept))
-        return Index(docs=docs, postings=postings)
+        """The current main version plus the current delta as one index."""
+        return live_index(self.main(), self.delta())
+
+    def search(self, queries: DataFrame) -> DataFrame:
+        """Main and delta are searched each on its own and main's results
+        are masked, so main's postings keep their bucket pruning."""
+        return live_search(self.main(), self.delta(), queries)
 
 
 def run_live_indexer(indexer: LiveIndexer, log_path: str, checkpoint: str,

@@ -1,4 +1,5 @@
-"""Timings of streaming micro-batches and of batch jobs as DataFrames."""
+"""Timings of batch jobs as a DataFrame; micro-batches write theirs in the
+same schema (``LiveIndexer.timings``)."""
 
 from __future__ import annotations
 
@@ -10,14 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 METRICS_SCHEMA = "name string, batch_id bigint, input_rows bigint, duration_ms bigint"
 
 
-def progress_metrics(spark: SparkSession, query, name: str) -> DataFrame:
-    """One row per micro-batch from a streaming query's recent progress."""
-    rows = [(name, int(p["batchId"]), int(p.get("numInputRows", 0)),
-             int(p.get("durationMs", {}).get("triggerExecution", 0)))
-            for p in query.recentProgress]
-    return spark.createDataFrame(rows, METRICS_SCHEMA)
-
-
 class Timer:
     """Wall-clock timings of named batch steps (build, query, merge, ...)."""
 

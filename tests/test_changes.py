@@ -9,6 +9,7 @@ from inkwell.session import work_dir
 def test_file_signatures_and_diff(spark):
     root = work_dir(spark, "t-files")
     local = root[len("file:"):] if root.startswith("file:") else root
+    os.makedirs(local)
     data = {"a.txt": b"hello", "b.txt": b"world"}  # Spark file scans skip empty files
     for n, b in data.items():
         with open(os.path.join(local, n), "wb") as f:
@@ -27,3 +28,52 @@ def test_file_signatures_and_diff(spark):
                                 "path string, signature string")
     got = sorted((r.path, r.change) for r in C.diff_signatures(old, new).collect())
     assert got == [("b", "changed"), ("c", "added"), ("r", "removed")]
+
+
+def test_modification_time_follows_the_file(spark, tmp_path):
+    import os
+
+    from inkwell.operators import changes as C
+    for name, at in (("a.txt", 1_000_000), ("b.txt", 2_000_000)):
+        (tmp_path / name).write_text("x")
+        os.utime(tmp_path / name, (at, at))
+    read = lambda: {r["path"].rsplit("/", 1)[1]: r["signature"] for r in C.file_signatures(spark, str(tmp_path), "mtime").collect()}
+    assert read() == {"a.txt": "1000000", "b.txt": "2000000"}
+    os.utime(tmp_path / "a.txt", (3_000_000, 3_000_000))
+    assert read()["a.txt"] == "3000000"
+
+
+def test_all_digests_equal_hashlib(spark):
+    import base64
+    import hashlib
+
+    from inkwell.operators import changes as C
+    df = spark.createDataFrame([("p", "content é")], "path string, content string")
+    for method, h in (("MD5", "md5"), ("SHA-1", "sha1"), ("SHA-256", "sha256"), ("SHA-512", "sha512")):
+        want = base64.b64encode(hashlib.new(h, "content é".encode()).digest()).decode().rstrip("=")
+        assert C.content_signatures(df, method).first()["signature"].replace("\r\n", "") == want
+
+
+def test_stored_bytes_equal_the_listing(spark, tmp_path):
+    import os
+
+    from inkwell.operators.postings import stored_bytes
+    spark.range(100).write.parquet(f"{tmp_path}/x")
+    sizes = [os.path.getsize(f"{d}/{f}") for d, _, fs in os.walk(tmp_path) for f in fs if f[0] not in "._"]
+    got = stored_bytes(spark, str(tmp_path)).first()
+    assert (got["n_files"], got["stored_bytes"]) == (len(sizes), sum(sizes))
+
+
+def test_document_records(spark, tmp_path):
+    """Several DOC elements in a file, one DOCNO in two files, missing and
+    empty elements, entities, accents, DOCNO without a number."""
+    from inkwell.sources import corpus as CO
+    (tmp_path / "a.xml").write_text(
+        "<DOCS><DOC><DOCNO>\n10\n</DOCNO><TITLE>old</TITLE><TEXT>x</TEXT></DOC>"
+        "<DOC><DOCNO>A1B2</DOCNO><TITLE/><AUTHOR>é &amp; ü</AUTHOR><TEXT>y</TEXT></DOC>"
+        "<DOC><DOCNO>none</DOCNO><TEXT>u</TEXT></DOC><DOC><DOCNO>-</DOCNO><TEXT>v</TEXT></DOC></DOCS>")
+    (tmp_path / "b.xml").write_text("<DOC><DOCNO>doc-10</DOCNO><TITLE>new</TITLE><TEXT>z</TEXT></DOC>")
+    docs = CO.build_docs(CO.read_xml_docs(spark, str(tmp_path)), ["file_path"])
+    got = sorted((str(r["doc_id"]), r["title"], r["author"], r["text"]) for r in docs.collect())
+    assert got == [("10", "new", "", "new\nz\n"), ("12", "", "é & ü", "\ny\né & ü"),
+                   ("None", "", "", "\nu\n"), ("None", "", "", "\nv\n")]

@@ -43,3 +43,36 @@ def test_distributed_row_number_matches_window(spark):
     exp = df.withColumn("r", F.row_number().over(w))
     assert got.exceptAll(exp.select(*got.columns)).count() == 0
     assert got.count() == 5000
+
+
+def test_stored_index_with_another_bucket_count(spark, docs_df):
+    from inkwell.operators.postings import build_index, read_index, write_index
+    from inkwell.operators.search import search
+    from inkwell.session import work_dir
+    docs = docs_df([(i, f"word{i} common term{i % 7}") for i in range(40)])
+    path = work_dir(spark, "t-buckets")
+    write_index(build_index(docs), path, buckets=13)
+    idx = read_index(spark, path)
+    assert idx.buckets == 13
+    queries = spark.createDataFrame([(f"q{i}", f"word{i}") for i in range(40)], "query_id string, query string")
+    got = sorted((r["query_id"], r["doc_id"]) for r in search(idx, queries).collect())
+    assert got == sorted((f"q{i}", i) for i in range(40))
+    assert idx.stats.filter("term = 'common'").first()["df"] == 40
+    assert idx.counts.count() == 120
+
+
+def test_empty_query_with_text_ids(spark, docs_df):
+    from inkwell.operators.postings import build_index
+    from inkwell.operators.search import search
+    idx = build_index(docs_df([(1, "a b"), (2, "b c")]))
+    queries = spark.createDataFrame([("x", ""), ("y", "!a")], "query_id string, query string")
+    assert sorted((r["query_id"], r["doc_id"]) for r in search(idx, queries).collect()) == [("x", 1), ("x", 2), ("y", 2)]
+
+
+def test_rank_keeps_null_groups(spark):
+    from pyspark.sql import functions as F
+
+    from inkwell.plans.ranking import distributed_row_number
+    rows = spark.createDataFrame([(None, 3), (None, 5), (1, 4)], "g bigint, x bigint")
+    got = distributed_row_number(rows, "g", [F.asc("x")]).collect()
+    assert sorted((r["g"] is None, r["x"], r["rank"]) for r in got) == [(False, 4, 1), (True, 3, 1), (True, 5, 2)]

@@ -31,3 +31,10 @@ def test_bucketed_asof_equals_plain(spark):
     a = last_value_before(df, ["k"], "ts", "seq", "v", "out", bucket_width=50)
     b = last_value_before(df, ["k"], "ts", "seq", "v", "out", bucket_width=1 << 40)
     assert a.exceptAll(b).count() == 0 and a.count() == 3000
+
+
+def test_null_keys_and_times_stay(spark):
+    rows = [(1, 10, "a"), (1, None, "b"), (None, 5, "c"), (None, 7, "d")]
+    log = spark.createDataFrame(rows, "session_id bigint, ts bigint, query string")
+    got = {(r["session_id"], r["ts"], r["query"], r["prev"]) for r in SP.previous_query(log).collect()}
+    assert got == {(1, None, "b", None), (1, 10, "a", "b"), (None, 5, "c", None), (None, 7, "d", "c")}

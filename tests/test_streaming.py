@@ -46,8 +46,8 @@ def test_live_indexer_resumes_after_restart(spark):
         idx = LiveIndexer(spark, base, threshold=2)
         idx.init_main(docs)
         for b in batches:
-            spark.createDataFrame([r for r in rows if r[4] == b], schema).coalesce(1) \
-                .write.mode("append").parquet(log)
+            for r in (r for r in rows if r[4] == b):  # a publisher's batch in several files
+                spark.createDataFrame([r], schema).coalesce(1).write.mode("append").parquet(log)
             if restart:
                 idx = LiveIndexer(spark, base, threshold=2)   # a new driver reads the pointer
                 run_live_indexer(idx, log, ckpt)
@@ -63,3 +63,64 @@ def test_live_indexer_resumes_after_restart(spark):
     assert got[0] == {2, 4} and got[1] == {1, 2}
     assert got[2] == set()                 # doc 2 was rewritten, doc 3 removed
     assert got[3] == {1, 2, 4}             # empty query: every live document
+
+
+CHANGES = "path string, change string, content string, signature string, batch bigint"
+
+
+def _indexer(spark, name, docs=((1, "alpha beta"), (2, "beta gamma"))):
+    from inkwell.streaming.live_index import LiveIndexer
+    idx = LiveIndexer(spark, work_dir(spark, name), threshold=1000)
+    idx.init_main(spark.createDataFrame(list(docs), "doc_id bigint, text string"))
+    return idx
+
+
+def test_split_batch_keeps_all_rows_and_replay_changes_nothing(spark):
+    idx = _indexer(spark, "t-split")
+    parts = [spark.createDataFrame([(f"docs/{10 * k + i}.xml", "changed", f"word{k}{i}", None, 1) for i in range(4)],
+                                   CHANGES) for k in range(5)]
+    for batch_id, part in enumerate(parts):
+        idx.process(part, batch_id)
+    idx.process(parts[-1], 4)  # the last micro-batch again
+    assert idx.delta().count() == 20 and idx.latest().count() == 20
+    steps = {(r["name"], r["batch_id"]): r["input_rows"] for r in idx.timings().collect()}
+    assert steps == {("build", 0): 2, **{("delta", b): 4 for b in range(5)}}
+
+
+def test_unreadable_delta_is_an_error(spark):
+    import glob
+
+    import pytest
+    idx = _indexer(spark, "t-damaged")
+    assert idx.delta().count() == 0  # none yet
+    idx.process(spark.createDataFrame([("docs/9.xml", "changed", "omega", None, 1)], CHANGES), 0)
+    for f in glob.glob(idx.delta_path().replace("file:", "") + "/**/*.parquet", recursive=True):
+        with open(f, "wb") as out:
+            out.write(b"not parquet at all")
+    spark.catalog.clearCache()
+    with pytest.raises(Exception, match="FAILED_READ_FILE|Checksum|not a Parquet"):
+        idx.search(spark.createDataFrame([(0, "omega")], "query_id bigint, query string")).collect()
+
+
+def test_xml_changes_use_the_number_in_the_document(spark):
+    idx = _indexer(spark, "t-xml")
+    xml = "<DOC><DOCNO>doc-7</DOCNO><TITLE>t</TITLE><AUTHOR></AUTHOR><BIBLIO></BIBLIO><TEXT>omega &amp; more</TEXT></DOC>"
+    idx.process(spark.createDataFrame([("docs/5.xml", "changed", xml, None, 1), ("docs/2.xml", "removed", None, None, 1)],
+                                      CHANGES), 0)
+    queries = spark.createDataFrame([(0, "omega"), (1, "gamma"), (2, "")], "query_id bigint, query string")
+    got = sorted((r["query_id"], r["doc_id"]) for r in idx.search(queries).collect())
+    assert got == [(0, 7), (2, 1), (2, 7)]
+    assert idx.latest().filter("doc_id = 7").first()["text"] == "t\nomega & more\n"
+
+
+def test_pointer_survives_an_incomplete_switch(spark):
+    import os
+
+    from inkwell.streaming.live_index import LiveIndexer
+    idx = _indexer(spark, "t-pointer")
+    idx.process(spark.createDataFrame([("docs/9.xml", "changed", "omega", None, 1)], CHANGES), 0)
+    idx.merge()
+    os.makedirs(f"{idx.base.replace('file:', '')}/pointer/v=99/_temporary")  # a writer that died
+    again = LiveIndexer(spark, idx.base)
+    assert (again.main_version, again.delta_version) == (2, 2)
+    assert {r["doc_id"] for r in again.search(spark.createDataFrame([(0, "omega")], "query_id bigint, query string")).collect()} == {9}
