@@ -38,6 +38,7 @@ import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -228,7 +229,7 @@ class Lexicon:
     """The mapped file: words to ids."""
 
     def __init__(self, path: str):
-        data = np.memmap(path, dtype=np.uint8, mode="r")
+        data = np.memmap(path, dtype=np.uint8, mode="r").view(np.ndarray)  # pages of the file still
         head = json.loads(bytes(data[:4096]))
         part = {k: data[4096 + at:4096 + at + n * np.dtype(t).itemsize].view(t) for k, (at, n, t) in head.items()}
         self.arc_keys, self.arc_targets, self.arc_numbers, self.final, self.id_starts, self.ids = (
@@ -260,16 +261,12 @@ class Lexicon:
         out[order[good]] = number[good]
         return out
 
-    def encode(self, words: list[bytes]) -> list[np.ndarray]:
+    def encode(self, words: list[bytes]) -> list[list[int]]:
         place = self.find(words)
-        out: list[np.ndarray] = [None] * len(words)  # type: ignore[list-item]
-        for i in np.flatnonzero(place >= 0).tolist():
-            p = place[i]
-            out[i] = self.ids[self.id_starts[p]:self.id_starts[p + 1]]
         new = np.flatnonzero(place < 0).tolist()
-        for i, ids in zip(new, self.merges.words([words[i] for i in new])):
-            out[i] = ids
-        return out
+        merged = iter(self.merges.words([words[i] for i in new]))
+        starts, ids = self.id_starts, self.ids
+        return [ids[starts[p]:starts[p + 1]].tolist() if p >= 0 else next(merged).tolist() for p in place.tolist()]
 
 
 # --- the model -------------------------------------------------------------------
@@ -323,15 +320,18 @@ class Model:
 
 
 class Encoder:
-    """Encodes texts batch by batch."""
+    """Encodes texts batch by batch; remembers up to ``most`` chunks, each as
+    (number of ids, ids in decimals, decoded text)."""
 
-    def __init__(self, lexicon: Lexicon, special: dict[str, int]):
-        self.lexicon, self.special = lexicon, special
+    def __init__(self, lexicon: Lexicon, special: dict[str, int], most: int = 300_000):
+        self.lexicon, self.special, self.most = lexicon, special, most
+        self.known: dict[str, tuple[int, str, str]] = {}
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
+        self.mark = os.path.commonprefix(list(special))  # in every chunk with a special token
 
     def words_of(self, chunk: str) -> list[str | int]:
         """Words of a chunk; an id for a special token's string."""
-        if self.at_special is None or not any(s in chunk for s in self.special):
+        if self.mark not in chunk or self.at_special is None:
             return split_words(chunk)
         out: list[str | int] = []
         for part in self.at_special.split(chunk):
@@ -341,37 +341,34 @@ class Encoder:
                 out.extend(split_words(part))
         return out
 
-    def encode(self, texts: list[str]):
-        """(chunks of every text, ids of every distinct chunk)."""
-        split = [chunks(t) for t in texts]
-        known = {c: self.words_of(c) for c in set(chain.from_iterable(split))}
-        words = list({w for ws in known.values() for w in ws if isinstance(w, str)})
-        ids: dict = dict(zip(words, self.lexicon.encode([w.encode() for w in words])))
-        for i in self.special.values():
-            ids[i] = np.array([i], dtype=np.int32)
-        return split, known, ids
+    def learn(self, found: set[str]) -> None:
+        if len(self.known) > self.most:
+            self.known.clear()
+        strings = self.lexicon.strings
+        split = {c: self.words_of(c) for c in found.difference(self.known)}
+        words = list({w for ws in split.values() for w in ws if isinstance(w, str)})
+        shown: dict = {i: (1, str(i), strings[i]) for i in self.special.values()}
+        for w, ids in zip(words, self.lexicon.encode([w.encode() for w in words])):
+            shown[w] = (len(ids), " ".join(map(str, ids)), " ".join([strings[i] for i in ids]))
+        for c, ws in split.items():
+            self.known[c] = shown[ws[0]] if len(ws) == 1 else self._joined([shown[w] for w in ws])
+
+    @staticmethod
+    def _joined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
+        if not parts:
+            return 0, "", ""
+        n, decimals, decoded = zip(*parts)
+        return sum(n), " ".join(decimals), " ".join(decoded)
 
     def rows(self, texts: list[str]):
         """(number of ids, ids in decimals, decoded text) of every text."""
-        split, known, ids = self.encode(texts)
-        strings = self.lexicon.strings
-        shown = {}
-        for w, own in ids.items():
-            own = own.tolist()
-            shown[w] = (len(own), " ".join(map(str, own)), " ".join([strings[i] for i in own]))
-        count, decimal, decoded = {}, {}, {}
-        for c, ws in known.items():
-            parts = [shown[w] for w in ws]
-            count[c] = sum(p[0] for p in parts)
-            decimal[c] = " ".join([p[1] for p in parts])
-            decoded[c] = " ".join([p[2] for p in parts])
+        split = [chunks(t) for t in texts]
+        self.learn(set(chain.from_iterable(split)))
         for cs in split:
-            yield (sum(map(count.__getitem__, cs)), " ".join(map(decimal.__getitem__, cs)),
-                   " ".join(map(decoded.__getitem__, cs)))
+            yield self._joined(list(map(self.known.__getitem__, cs)))
 
     def ids(self, text: str) -> list[int]:
-        split, known, ids = self.encode([text])
-        return [int(i) for c in split[0] for w in known[c] for i in ids[w]]
+        return [int(i) for i in next(self.rows([text]))[1].split()]
 
 
 def decode(ids, strings: list[str]) -> str:
@@ -411,14 +408,19 @@ def ship_lexicon(docs: DataFrame, model: Model, most: int = LEXICON) -> str:
     return name
 
 
+@lru_cache(maxsize=1)
+def kept_encoder(path: str, special: tuple) -> Encoder:
+    """One per Python worker, so that later tasks know the chunks of earlier ones."""
+    return Encoder(Lexicon(path), dict(special))
+
+
 def _encoded(docs: DataFrame, tokenizer_path: str, row, schema: pa.Schema, sql: str) -> DataFrame:
     model = Model(tokenizer_path)
     name, special = ship_lexicon(docs, model), model.special
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder = kept_encoder(SparkFiles.get(name), tuple(special.items()))
         for batch in slices(batches, "text", UNIT_BYTES):
-            encoder = encoder or Encoder(Lexicon(SparkFiles.get(name)), special)
             rows = [row(*r) for r in encoder.rows(texts_of(batch.column(1)))]
             yield frame(schema, [batch.column(0), *zip(*rows)])
 

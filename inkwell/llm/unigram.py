@@ -50,9 +50,9 @@ class Counter(dict):
     """word in UTF-8 -> number of pieces, found when first asked for; holds ``most``
     words at most."""
 
-    def __init__(self, vocabulary: list[tuple[str, float]], most: int = 400_000):
+    def __init__(self, vocabulary: list[tuple[str, float]], most: int = 800_000):
         super().__init__()
-        self.most = most
+        self.vocabulary, self.most = vocabulary, most
         self.unknown = min((s for _, s in vocabulary), default=0.0) - UNKNOWN_PENALTY
         self.single = {p for p, _ in vocabulary if len(p) == 1}
         self.automaton = ahocorasick.Automaton()
@@ -104,6 +104,17 @@ def _words(text: str) -> list[bytes]:
     return text.encode().split()  # bytes.split: blank and \t to \r, nothing else
 
 
+_KEPT: list[Counter] = []
+
+
+def kept_counter(vocabulary: list[tuple[str, float]]) -> Counter:
+    """One counter per Python worker and vocabulary, so that later tasks know
+    the words of earlier ones."""
+    if not _KEPT or _KEPT[0].vocabulary is not vocabulary:
+        _KEPT[:] = [Counter(vocabulary)]
+    return _KEPT[0]
+
+
 COUNT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -113,9 +124,8 @@ def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]], id_col: s
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # as large as the vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = None
+        counter = kept_counter(shared.value)
         for batch in slices(batches, "text", UNIT_BYTES):
-            counter = counter or Counter(shared.value)
             words = [_words(t) for t in texts_of(batch.column(1))]
             yield frame(COUNT, [batch.column(0), [len(w) for w in words],
                                 [sum(map(counter.__getitem__, w)) for w in words]])
