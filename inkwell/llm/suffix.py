@@ -128,23 +128,14 @@ def keyed(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(text.alias("text"), F.xxhash64(text).alias("t"))
 
 
-def entries(texts: DataFrame, min_length: int, hot=None, only_hot: bool = False,
-            cells=None) -> DataFrame:
-    """Index entries of keyed texts; without the hot anchors, or only those,
-    or only those in the given cells."""
+def entries(texts: DataFrame, min_length: int) -> DataFrame:
+    """Index entries of keyed texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got, size = [], 0
             for t, text in zip(batch.column(1).to_pylist(), texts_of(batch.column(0))):
                 h, f, s, m = runs(text.encode(), min_length)
-                h, f = h.view(np.int64), f.view(np.int64)
-                if hot is not None:
-                    pick = np.isin(h, hot) if only_hot else ~np.isin(h, hot)
-                    h, f, s, m = h[pick], f[pick], s[pick], m[pick]
-                if cells is not None:
-                    pick = np.isin(h % CELLS, cells)
-                    h, f, s, m = h[pick], f[pick], s[pick], m[pick]
-                got.append((h, f, np.full(len(h), t, dtype=np.int64), s, m))
+                got.append((h.view(np.int64), f.view(np.int64), np.full(len(h), t, dtype=np.int64), s, m))
                 size += len(h)
                 if size > 1 << 18:
                     yield frame(ENTRY, [np.concatenate(c) for c in zip(*got)])
@@ -155,26 +146,21 @@ def entries(texts: DataFrame, min_length: int, hot=None, only_hot: bool = False,
     return texts.filter(F.octet_length("text") >= min_length).mapInArrow(run, ENTRY_SQL)
 
 
-def hot_anchors(texts: DataFrame, min_length: int, shards: int) -> np.ndarray:
-    """Anchors with more than an eighth of a task's mean share of entries (so
-    at most 8 per task), found through the counts of ``CELLS`` hash cells."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, dtype=np.int64)
-        for batch in batches:
-            for text in texts_of(batch.column(0)):
-                h = runs(text.encode(), min_length)[0].view(np.int64)
-                total += np.bincount(h % CELLS, minlength=CELLS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CELLS)), pa.array(total)], names=["cell", "n"])
-
-    counts = (texts.filter(F.octet_length("text") >= min_length).mapInArrow(run, "cell bigint, n bigint")
-              .groupBy("cell").agg(F.sum("n").alias("n")).filter("n > 0").toPandas())
-    limit = max(HOT_ENTRIES, int(counts["n"].sum()) // (8 * shards))
-    cells = counts.loc[counts["n"] > limit, "cell"].to_numpy()
-    if not len(cells):
-        return np.zeros(0, dtype=np.int64)
-    rows = (entries(texts, min_length, cells=cells).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > limit).select("h").collect())
-    return np.array(sorted(r["h"] for r in rows), dtype=np.int64)
+def hot_anchors(found: DataFrame, shards: int) -> DataFrame | None:
+    """(h) of the anchors with more than an eighth of a task's mean share of
+    entries (so at most 8 per task), found through the counts of ``CELLS``
+    hash cells; None if there are none."""
+    spark = found.sparkSession
+    cell = F.pmod(F.col("h"), F.lit(CELLS)).cast("int")
+    counts = found.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()
+    limit = max(HOT_ENTRIES, sum(r["n"] for r in counts) // (8 * shards))
+    cells = [(r["cell"],) for r in counts if r["n"] > limit]
+    if not cells:
+        return None
+    cells = F.broadcast(spark.createDataFrame(cells, "cell int"))  # at most CELLS rows
+    rows = (found.withColumn("cell", cell).join(cells, "cell", "left_semi")
+            .groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("h").collect())
+    return spark.createDataFrame([(r["h"],) for r in rows], "h bigint") if rows else None
 
 
 # --- the index family ---------------------------------------------------------
@@ -378,20 +364,20 @@ def repeats(docs: DataFrame, min_length: int = MIN_LENGTH, text_col: str = "text
     spark = docs.sparkSession
     shards = partitions(spark)
     texts = keyed(docs, text_col)
-    hot = hot_anchors(texts, min_length, shards)
-    found = (entries(texts, min_length, hot=hot if len(hot) else None)
-             .repartition(shards, "h").mapInArrow(_index, MATCH_SQL))
-    found = stored(found, "matches")
-    spans = found.filter(F.col("kind") != EDGE).select("t", "s", "m")
-    edges = found.filter(F.col("kind") != COVERED)
+    found = stored(entries(texts, min_length), "entries")
+    hot = hot_anchors(found, shards)
+    cold = found if hot is None else found.join(F.broadcast(hot), "h", "left_anti").select(*found.columns)
+    matches = stored(cold.repartition(shards, "h").mapInArrow(_index, MATCH_SQL), "matches")
+    spans = matches.filter(F.col("kind") != EDGE).select("t", "s", "m")
+    edges = matches.filter(F.col("kind") != COVERED)
     if not edges.isEmpty():
         spans = spans.unionByName(
             pieces(texts, edges, min_length).repartition(shards, "h").mapInArrow(compare(min_length), SPAN_SQL))
-    if len(hot):
-        found = stored(hot_matches(entries(texts, min_length, hot=hot, only_hot=True)), "hot-matches")
-        spans = spans.unionByName(found.filter(F.col("kind") != EDGE).select("t", "s", "m"))
-        edged = found.filter(F.col("kind") == EDGE).select("h").distinct()
-        edges = found.filter(F.col("kind") != COVERED).join(F.broadcast(edged), "h", "left_semi")
+    if hot is not None:
+        matches = stored(hot_matches(found.join(F.broadcast(hot), "h", "left_semi")), "hot-matches")
+        spans = spans.unionByName(matches.filter(F.col("kind") != EDGE).select("t", "s", "m"))
+        edged = matches.filter(F.col("kind") == EDGE).select("h").distinct()
+        edges = matches.filter(F.col("kind") != COVERED).join(F.broadcast(edged), "h", "left_semi")
         if not edges.isEmpty():
             spans = spans.unionByName(compare_hot(pieces(texts, edges, min_length), min_length))
     spans = spans.groupBy("t", "s").agg(F.max("m").alias("m"))
