@@ -29,6 +29,7 @@ from __future__ import annotations
 import random
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -51,7 +52,7 @@ class ChunkTokens(dict):
     tokenizers library.  The tokenizer's pieces never cross white space, so a
     text's ids are those of its chunks.  Holds ``most`` chunks at most."""
 
-    def __init__(self, tokenizer_json: str, most: int = 300_000):
+    def __init__(self, tokenizer_json: str, most: int = 800_000):
         super().__init__()
         from tokenizers import Tokenizer
         self.tok, self.most = Tokenizer.from_str(tokenizer_json), most
@@ -75,6 +76,12 @@ class ChunkTokens(dict):
         return [b"".join(map(self.__getitem__, ws)) for ws in words]
 
 
+@lru_cache(maxsize=1)
+def chunk_tokens(tokenizer_json: str) -> ChunkTokens:
+    """One per Python worker, so that its later tasks know the chunks of earlier ones."""
+    return ChunkTokens(tokenizer_json)
+
+
 PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                    ("length", pa.int64()), ("ids_crc32", pa.int64())])
 PIECE_SQL = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -88,9 +95,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end:
     last = np.array([end], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = None
+        tokens = chunk_tokens(model.value)
         for batch in slices(batches, "text", UNIT_BYTES):
-            tokens = tokens or ChunkTokens(model.value)
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), tokens.encode(texts_of(batch.column(1)))):
                 ids += last
