@@ -48,7 +48,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import chunks, frame, slices, texts_of
+from inkwell.llm.common import chunks, frame, slices, stored, texts_of
 
 LEXICON, LONGEST = 1 << 16, 48
 UNIT_BYTES = 8 << 20
@@ -376,7 +376,8 @@ def decode(ids, strings: list[str]) -> str:
 
 
 def frequent_words(docs: DataFrame, most: int = LEXICON, text_col: str = "text") -> list[bytes]:
-    """The most frequent words of all texts (ties: the smaller), counted per
+    """The most frequent words of all texts: all with a count of at least 2^k,
+    for the least k that leaves no more than ``most``.  Words are counted per
     batch of text first; single occurrences in a batch are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", UNIT_BYTES):
@@ -390,9 +391,14 @@ def frequent_words(docs: DataFrame, most: int = LEXICON, text_col: str = "text")
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
                                                   pa.array([r[1] for r in rows], pa.int64())], names=["w", "n"])
 
-    got = (docs.select(F.col(text_col).alias("text")).mapInArrow(run, "w binary, n bigint")
-           .groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(most).select("w").collect())
-    return [bytes(r["w"]) for r in got]
+    counts = stored(docs.select(F.col(text_col).alias("text")).mapInArrow(run, "w binary, n bigint")
+                    .groupBy("w").agg(F.sum("n").alias("n")), "word-counts")
+    digits = F.length(F.bin("n"))
+    sizes = {r["k"]: r["n"] for r in counts.groupBy(digits.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    least = max(sizes, default=0) + 1
+    while least > 1 and sum(n for k, n in sizes.items() if k >= least - 1) <= most:
+        least -= 1
+    return [bytes(r["w"]) for r in counts.filter(digits >= least).select("w").collect()]
 
 
 DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
