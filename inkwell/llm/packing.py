@@ -43,7 +43,7 @@ from inkwell.llm.common import chunks, frame, slices, stored, texts_of
 CAPACITY, END = 4096, 1
 SHARD, ISLANDS, EPOCHS, REPACK = 4000, 2, 2, 0.99
 POPULATION, GENERATIONS, ELITES = 4, 6, 2
-UNIT_BYTES = 8 << 20
+UNIT_BYTES = 4 << 20  # with the chunks kept, what bounds a worker's memory
 
 
 # --- tokens --------------------------------------------------------------------
@@ -52,7 +52,7 @@ class ChunkTokens(dict):
     tokenizers library.  The tokenizer's pieces never cross white space, so a
     text's ids are those of its chunks.  Holds ``most`` chunks at most."""
 
-    def __init__(self, tokenizer_json: str, most: int = 800_000):
+    def __init__(self, tokenizer_json: str, most: int = 600_000):
         super().__init__()
         from tokenizers import Tokenizer
         self.tok, self.most = Tokenizer.from_str(tokenizer_json), most
