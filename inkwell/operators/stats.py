@@ -32,7 +32,7 @@ def phrase_terms(phrases: DataFrame, id_col: str = "phrase_id",
 
 
 def _occurrences(index: Index, phrases: DataFrame, id_col: str, phrase_col: str) -> DataFrame:
-    return phrase_hits(index.postings, phrase_terms(phrases, id_col, phrase_col))
+    return phrase_hits(index.postings, phrase_terms(phrases, id_col, phrase_col), index.buckets)
 
 
 def document_freq(index: Index, phrases: DataFrame, id_col: str = "phrase_id",
