@@ -311,19 +311,22 @@ def q_merged_search(spark, sf_dir):
 
 
 # --- step 8/9: edit distance and spelling suggestions ------------------------
-def _log_inputs(spark, sf_dir):
+def _log_inputs(spark, sf_dir, make_log=WL.query_log):
     docs = WL.documents(spark, sf_dir)
     stats = P.term_stats(P.build_postings(docs), docs)
     stats = stored(stats, "log-stats")
-    log = WL.query_log(WL.read_table(spark, sf_dir, "events"), stats,
-                       WL.read_table(spark, sf_dir, "conversations"))
+    log = make_log(WL.read_table(spark, sf_dir, "events"), stats,
+                   WL.read_table(spark, sf_dir, "conversations"))
     return log, stats
 
 
+def _word_pairs(log):
+    return SP.previous_query(log).filter(F.col("prev").isNotNull() & SP.is_single_word("query"))
+
+
 def _pairs(spark, sf_dir):
     log, stats = _log_inputs(spark, sf_dir)
-    prev = SP.previous_query(log)
-    return prev.filter(F.col("prev").isNotNull() & SP.is_single_word("query")), stats
+    return _word_pairs(log), stats
 
 
 @register("previous_query")
@@ -352,22 +355,42 @@ def q_suggest(spark, sf_dir):
     return SP.suggest(*_log_inputs(spark, sf_dir))
 
 
-@register("edit_distance")
-def q_edit_distance(spark, sf_dir):
-    pairs, _ = _pairs(spark, sf_dir)
+def _edit_distances(pairs):
     return pairs.select("session_id", "ts", "prev", "query",
                         D.edit_distance("prev", "query").alias("distance"))
 
 
-@register("edit_distance_weighted")
-def q_edit_distance_weighted(spark, sf_dir):
-    pairs, _ = _pairs(spark, sf_dir)
+def _weighted_distances(pairs):
     distinct = pairs.select("prev", "query").distinct()
     scored = distinct.withColumn(
         "distance", D.weighted_edit_distance("prev", "query", costs=(0, 1, 2), hyphen="gap"))
     return pairs.select("session_id", "ts", "prev", "query").join(scored, ["prev", "query"])
 
 
+@register("edit_distance")
+def q_edit_distance(spark, sf_dir):
+    return _edit_distances(_pairs(spark, sf_dir)[0])
+
+
+@register("edit_distance_weighted")
+def q_edit_distance_weighted(spark, sf_dir):
+    return _weighted_distances(_pairs(spark, sf_dir)[0])
+
+
+# The same over the log whose sessions are whole user histories.
+for _name, _of in {
+        "previous_query": lambda log, stats: SP.previous_query(log),
+        "dominates": lambda log, stats: SP.dominates(_word_pairs(log), stats),
+        "mine_corrections": SP.mine_corrections,
+        "latest_corrections": lambda log, stats: SP.latest_corrections(SP.mine_corrections(log, stats)),
+        "suggest": SP.suggest,
+        "edit_distance": lambda log, stats: _edit_distances(_word_pairs(log)),
+        "edit_distance_weighted": lambda log, stats: _weighted_distances(_word_pairs(log)),
+        "suggest_stream": lambda log, stats: _streamed_suggestions(log, stats)}.items():
+    register(f"{_name}_by_user")(
+        lambda spark, sf_dir, of=_of: of(*_log_inputs(spark, sf_dir, WL.user_query_log)))
+
+
 @register("fuzzy_match")
 def q_fuzzy_match(spark, sf_dir):
     """The words of the benchmark passages against the whole vocabulary."""
@@ -583,10 +606,9 @@ def q_metrics(spark, sf_dir):
     return indexer.timings()
 
 
-@register("suggest_stream")
-def q_suggest_stream(spark, sf_dir):
+def _streamed_suggestions(log, stats):
     import time
-    log, stats = _log_inputs(spark, sf_dir)
+    spark = log.sparkSession
     base = work_dir(spark, "suggest")
     stats_path = f"{base}/stats"
     stats.select("term", "cf").write.parquet(stats_path)
@@ -597,3 +619,8 @@ def q_suggest_stream(spark, sf_dir):
     PS.run_suggest_stream(spark, f"{base}/log", spark.read.parquet(stats_path),
                           f"{base}/out", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out")
+
+
+@register("suggest_stream")
+def q_suggest_stream(spark, sf_dir):
+    return _streamed_suggestions(*_log_inputs(spark, sf_dir))

@@ -9,7 +9,7 @@ generated from the Spark plans.
 from __future__ import annotations
 
 from inkwell.sources.workloads import (DELTA_RULES, LANG_METHODS, LOG_CONVERSATIONS, LOG_MULT, LOG_REPEAT,
-                                       LOG_SESSION,
+                                       LOG_SESSION, LOG_USER_WORDS,
                                        LOOKUP_PHRASES, SIMILAR_WORDS, TOMBSTONE_MOD, TOMBSTONE_REM, WORKLOAD)
 
 
@@ -521,3 +521,18 @@ ORACLES["search_benchmark"] = _with(
     "queries AS (SELECT item_id AS query_id, "
     "'\"' || regexp_replace(text, '\\s+', ' ', 'g') || '\"' AS query FROM benchmark)",
     query_terms_cte(), search_ctes()) + "\nSELECT query_id, doc_id, score, location FROM results"
+
+# The log whose sessions are whole user histories.
+_BY_USER = f"""
+numbered AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS k FROM events),
+qlog AS (
+  SELECT e.user_id AS session_id, e.event_id AS ts,
+         CASE WHEN e.k % 2 = 0 THEN substr(v.word, 1, 1) || substr(v.word, 3) ELSE v.word END AS query
+  FROM numbered e JOIN vocab v ON v.rank = ((coalesce(e.user_id, 0) * {LOG_USER_WORDS}
+    + (e.k // {LOG_REPEAT}) % {LOG_USER_WORDS}) * {LOG_MULT}) % (SELECT count(*) FROM cf)
+"""
+_head, _rest = QLOG.split("qlog AS (")
+_SPELL_BY_USER = _with(tokenize_cte(), _head + _BY_USER.lstrip() + _rest[_rest.index("  UNION ALL"):])
+for _q in ("previous_query", "dominates", "mine_corrections", "latest_corrections", "suggest", "edit_distance"):
+    ORACLES[f"{_q}_by_user"] = _SPELL_BY_USER + ORACLES[_q].removeprefix(SPELL)
+ORACLES["suggest_stream_by_user"] = ORACLES["suggest_by_user"]

@@ -44,6 +44,14 @@ LOG_MULT, LOG_REPEAT, LOG_SESSION = 31, 4, 8
 LOG_CONVERSATIONS = 1_000_000_000_000
 
 
+# Query log with a session per user.  A user's events by event_id
+# are numbered k = 0, 1, ...; events k = 4j to 4j + 3 ask for the user's word
+# number j mod LOG_USER_WORDS, of the term at rank ((user_id * LOG_USER_WORDS +
+# number) * LOG_MULT) mod (number of terms): the even ones without its second
+# character, so each misspelling is followed by the right word in its session.
+LOG_USER_WORDS = 8
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
@@ -153,6 +161,27 @@ def query_log(events: DataFrame, stats: DataFrame, conversations: DataFrame | No
         F.col("text").alias("query")))
 
 
+def user_query_log(events: DataFrame, stats: DataFrame, conversations: DataFrame | None = None) -> DataFrame:
+    """query_log(session_id, ts, query) with session_id = user_id and ts =
+    event_id: sessions as long as a user's history, a hot user's too (events are
+    numbered by range partitions, not by one task per user)."""
+    n_terms = stats.agg(F.count(F.lit(1))).scalar()
+    numbered = distributed_row_number(events.select("user_id", "event_id"), "user_id", [F.asc("event_id")], "rn")
+    k = F.col("rn") - 1
+    word_no = F.pmod(F.floor(k / LOG_REPEAT), F.lit(LOG_USER_WORDS))
+    ev = numbered.select(
+        F.col("user_id").alias("session_id"), F.col("event_id").alias("ts"), F.pmod(k, F.lit(2)).alias("odd"),
+        F.pmod((F.coalesce("user_id", F.lit(0)) * LOG_USER_WORDS + word_no) * LOG_MULT, n_terms).cast("bigint").alias("rank"))
+    misspelt = F.concat(F.substring("word", 1, 1), F.substr("word", F.lit(3)))
+    log = ev.join(log_vocabulary(stats), "rank").select(
+        "session_id", "ts", F.when(F.col("odd") == 0, misspelt).otherwise(F.col("word")).alias("query"))
+    if conversations is None:
+        return log
+    return log.unionByName(conversations.select(
+        (F.col("conv_id") + LOG_CONVERSATIONS).alias("session_id"), F.col("turn").alias("ts"),
+        F.col("text").alias("query")))
+
+
 # Per-file signature method by document language (watch set);
 # other languages take the default.
 LANG_METHODS = [("fr", "SHA-256"), ("de", "SHA-1"), ("es", "checksum")]
