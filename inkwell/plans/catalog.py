@@ -401,6 +401,17 @@ def q_fuzzy_match(spark, sf_dir):
     return E.fuzzy_match(words, vocab, max_distance=2)
 
 
+@register("fuzzy_match_log")
+def q_fuzzy_match_log(spark, sf_dir):
+    """All distinct words of the query log (events and conversations, misspelt
+    ones too) and of the benchmark passages against the whole vocabulary."""
+    log, stats = _log_inputs(spark, sf_dir)
+    bench = WL.read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    asked = log.select(F.col("session_id").alias("doc_id"), F.col("query").alias("text")).unionByName(bench)
+    words = P.build_postings(asked).select(F.col("term").alias("word")).distinct()
+    return E.fuzzy_match(stored(words, "log-words"), stats.select("term"), max_distance=2)
+
+
 # --- step 5: corpus sources and sinks ---------------------------------------
 def _xml_records(spark, sf_dir):
     docs = WL.read_table(spark, sf_dir, "documents")
