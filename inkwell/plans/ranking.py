@@ -21,9 +21,10 @@ _LOCAL_BITS = 33  # monotonically_increasing_id: partition id above bit 33
 
 
 def distributed_row_number(df: DataFrame, group: str, order: list[Column],
-                           name: str = "rank") -> DataFrame:
+                           name: str = "rank", dtype: str = "int") -> DataFrame:
     """``row_number() over (partition by group order by *order)`` as a
-    distributed sort.  ``order`` must be a total order within a group."""
+    distributed sort.  ``order`` must be a total order within a group;
+    ``dtype`` is the type of the number."""
     s = (df.repartitionByRange(F.col(group), *order)
          .sortWithinPartitions(F.col(group), *order)
          .withColumn("_mid", F.monotonically_increasing_id())
@@ -38,5 +39,5 @@ def distributed_row_number(df: DataFrame, group: str, order: list[Column],
         "_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     summary = summary.withColumnsRenamed({group: "_group", "_pid": "_part"})
     out = s.join(summary, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_pid") == F.col("_part"))).withColumn(
-        name, (F.col("_loc") - F.col("_first") + F.col("_before") + 1).cast("int"))
+        name, (F.col("_loc") - F.col("_first") + F.col("_before") + 1).cast(dtype))
     return out.drop("_mid", "_pid", "_loc", "_first", "_n", "_before", "_group", "_part")
