@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import (bpe, licences, lz_fingerprint, packing, quality, simhash, suffix, toxicity,
-                         unigram, url_rules)
+from inkwell.llm import (bpe, centroids, licences, lz_fingerprint, manifest, multi_index, packing, quality,
+                         simhash, suffix, toxicity, unigram, url_rules)
 from inkwell.llm.common import prepare, read
 from inkwell.llm.oracle import ORACLES  # noqa: F401  (re-exported)
 
@@ -93,3 +93,18 @@ def op9_packing(spark, sf_dir):
 @register
 def op10_license_scans(spark, sf_dir):
     return licences.scan(read(spark, sf_dir, "documents"))
+
+
+@register
+def op11_centroids(spark, sf_dir):
+    return centroids.clustered(read(spark, sf_dir, "embeddings"))
+
+
+@register
+def op12_manifest(spark, sf_dir):
+    return manifest.manifest(read(spark, sf_dir, "documents"))
+
+
+@register
+def op13_multi_index(spark, sf_dir):
+    return multi_index.near_duplicates(read(spark, sf_dir, "embeddings"))

@@ -11,6 +11,7 @@ from inkwell.llm.common import prepare
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from llm_rows import awkward_rows  # noqa: E402
+from llm_vectors import awkward_vectors  # noqa: E402
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, t bigint, kept string"
 
@@ -30,12 +31,14 @@ def tables(spark, tmp_path_factory):
             "http://a.b.example.net/en/x?q#f"]
     pages = [(i, u, "<p>") for i, u in enumerate(urls)] + [(None, "http://k.net/", None), (0, urls[0], "<p>")]
     spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{path}/pages.parquet")
+    vectors = spark.createDataFrame(awkward_vectors(), "vec_id bigint, embedding array<float>, label int")
+    vectors.selectExpr("*", "1 AS cluster", "2 AS node", "3 AS copies").repartition(3).write.parquet(f"{path}/embeddings.parquet")
     return path
 
 
 @pytest.fixture(scope="session")
 def empty_tables(spark, tables, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels", "pages"):
+    for name in ("documents", "labels", "pages", "embeddings"):
         spark.read.parquet(f"{tables}/{name}.parquet").filter(F.lit(False)).write.parquet(f"{path}/{name}.parquet")
     return path
