@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,36 @@ WORD_GAP_CHARS = " \t\n\x0b\x0c\r"
 ARROW_ROWS, ARROW_BYTES = 4096, 16 << 20
 
 
-def prepare(spark: SparkSession) -> None:
+def prepare(spark: SparkSession, arrow_bytes: int = ARROW_BYTES) -> None:
     """Shared folder, package on the workers, bounded Arrow batches."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(arrow_bytes))
+
+
+_KEPT: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, make: Callable[[], object]):
+    """What a Python worker keeps from one of its tasks to the next: one thing
+    at a time, so that a stage does not hold what an earlier one has kept."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release(forget: bool = False) -> None:
+    """Give a worker's free memory back to the machine at a task's end; with
+    ``forget`` also what it kept."""
+    if forget:
+        _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -26,10 +26,14 @@ island, so a task that is run again gives the same rows.
 
 from __future__ import annotations
 
+import gc
+import json
 import random
+import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -38,48 +42,103 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import chunks, frame, slices, stored, texts_of
+from inkwell.llm.bpe import byte_letters
+from inkwell.llm.common import chunks, frame, kept, release, slices, stored, texts_of
 
 CAPACITY, END = 4096, 1
 SHARD, ISLANDS, EPOCHS, REPACK = 4000, 2, 2, 0.99
 POPULATION, GENERATIONS, ELITES = 4, 6, 2
-UNIT_BYTES = 4 << 20  # with the chunks kept, what bounds a worker's memory
+UNIT_BYTES = 2 << 20  # with what is kept of the tokens, what bounds a worker's memory
+KEPT_BYTES, ENTRY_BYTES = 48 << 20, 190  # one generation; an entry's own objects
+_BYTE_LETTERS = {b: c for b, c in enumerate(byte_letters()) if chr(b) != c}
 
 
 # --- tokens --------------------------------------------------------------------
-class ChunkTokens(dict):
-    """chunk (no white space in it) -> ids as little-endian 32-bit bytes, by the
-    tokenizers library.  The tokenizer's pieces never cross white space, so a
-    text's ids are those of its chunks.  Holds ``most`` chunks at most."""
+# Characters below this have the same class in every Unicode table in use; a
+# chunk of others goes through the library whole.
+_PLAIN = 0x180
+_LETTERS, _NUMBERS = ("".join(re.escape(chr(i)) for i in range(_PLAIN) if unicodedata.category(chr(i))[0] == kind)
+                      for kind in "LN")
+# The library's way of parting words (fixed value), over these characters.
+_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+")
+# Printable; U+0130 is left out, as its lower case is two characters.
+_SIMPLE = re.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f]+")
 
-    def __init__(self, tokenizer_json: str, most: int = 600_000):
+
+class Words(dict):
+    """word (lower case, printable) -> ids as little-endian 32-bit bytes."""
+
+    def __init__(self, model, older: dict):
+        super().__init__()
+        self.model, self.older, self.bytes = model, older, 0
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        self[word] = ids
+        self.bytes += ENTRY_BYTES + len(word) + len(ids)
+        return ids
+
+
+class Chunks(dict):
+    """chunk (no white space in it) -> the ids of its words."""
+
+    def __init__(self, owner: ChunkTokens, older: dict):
         super().__init__()
+        self.owner, self.older, self.bytes = owner, older, 0
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self.owner.chunk(chunk)
+        self[chunk] = ids
+        self.bytes += ENTRY_BYTES + len(chunk) + len(ids)
+        return ids
+
+
+class ChunkTokens:
+    """Ids of texts by the tokenizers library.  The tokenizer's pieces never
+    cross white space, so a text's ids are those of its chunks, and a chunk's
+    those of its words, which are lower-cased and parted here and encoded by the
+    library's model.  Chunks with special tokens or characters outside
+    ``_SIMPLE`` go through the whole library.
+
+    Chunks and words are kept in two generations of about ``budget`` bytes each:
+    a full one becomes the older one, and what is asked for moves on to the next."""
+
+    def __init__(self, tokenizer_json: str, budget: int = KEPT_BYTES):
         from tokenizers import Tokenizer
-        self.tok, self.most = Tokenizer.from_str(tokenizer_json), most
-        self.tok.no_truncation()
-        self.tok.no_padding()
-
-    def learn(self, found: set[str]) -> None:
-        if len(self) > self.most:
-            self.clear()
-        new = list(found.difference(self))
-        for a in range(0, len(new), 20_000):
-            part = new[a:a + 20_000]
-            enc = self.tok.encode(part, is_pretokenized=True, add_special_tokens=False)
-            counts = np.bincount(np.array(enc.word_ids, dtype=np.int64), minlength=len(part))
-            data, ends = np.array(enc.ids, dtype="<u4").tobytes(), (np.cumsum(counts) * 4).tolist()
-            self.update(zip(part, (data[i:j] for i, j in zip([0, *ends], ends))))
+        self.library, self.budget = Tokenizer.from_str(tokenizer_json), budget
+        self.library.no_truncation()
+        self.library.no_padding()
+        spec = json.loads(tokenizer_json)
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        plain = spec | {"added_tokens": [], "normalizer": None, "pre_tokenizer": None}
+        self.model = Tokenizer.from_str(json.dumps(plain)).model
+        self.words, self.chunks = Words(self.model, {}), Chunks(self, {})
+
+    def chunk(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            return self.words[chunk.lower()]
+        if _SIMPLE.fullmatch(chunk) and not any(s in chunk for s in self.special):
+            return b"".join(map(self.words.__getitem__, _WORDS.findall(chunk.lower())))
+        return array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [chunks(t) for t in texts]
-        self.learn(set(chain.from_iterable(words)))
-        return [b"".join(map(self.__getitem__, ws)) for ws in words]
-
+        known = self.chunks.__getitem__
+        out = [b"".join(map(known, chunks(t))) for t in texts]
+        if self.words.bytes > self.budget:
+            self.words = Words(self.model, self._young(self.words))
+        if self.chunks.bytes > self.budget:
+            self.chunks = Chunks(self, self._young(self.chunks))
+        return out
 
-@lru_cache(maxsize=1)
-def chunk_tokens(tokenizer_json: str) -> ChunkTokens:
-    """One per Python worker, so that its later tasks know the chunks of earlier ones."""
-    return ChunkTokens(tokenizer_json)
+    @staticmethod
+    def _young(full) -> dict:
+        full.older = {}  # the generation before is forgotten
+        return full
 
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
@@ -88,22 +147,27 @@ PIECE_SQL = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bi
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end: int = END,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text", kept_bytes: int = KEPT_BYTES) -> DataFrame:
     """One row per piece of every document."""
     with open(tokenizer_path, encoding="utf-8") as f:  # on the driver; a few MB
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     last = np.array([end], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = chunk_tokens(model.value)
-        for batch in slices(batches, "text", UNIT_BYTES):
-            rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), tokens.encode(texts_of(batch.column(1)))):
-                ids += last
-                for i, a in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[a:a + 4 * capacity]
-                    rows.append((doc, i, a // 4, len(part) // 4, zlib.crc32(part)))
-            yield frame(PIECE, zip(*rows))
+        tokens = kept(("packing", zlib.crc32(model.value.encode()), kept_bytes), lambda: ChunkTokens(model.value, kept_bytes))
+        gc.disable()  # nothing here makes cycles
+        try:
+            for batch in slices(batches, "text", UNIT_BYTES):
+                rows = []
+                for doc, ids in zip(batch.column(0).to_pylist(), tokens.encode(texts_of(batch.column(1)))):
+                    ids += last
+                    for i, a in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[a:a + 4 * capacity]
+                        rows.append((doc, i, a // 4, len(part) // 4, zlib.crc32(part)))
+                yield frame(PIECE, zip(*rows))
+        finally:
+            gc.enable()
+            release()
 
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
             .mapInArrow(run, PIECE_SQL))
@@ -282,10 +346,11 @@ def pack(items: DataFrame, capacity: int = CAPACITY, islands: int = ISLANDS, epo
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end: int = END,
-                   **options) -> DataFrame:
+                   kept_bytes: int = KEPT_BYTES, **options) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row
-    per piece."""
-    rows = stored(pieces(docs, tokenizer_path, capacity, end)
+    per piece.  ``kept_bytes`` bounds one generation of the tokens that a worker
+    keeps; it changes the speed, not the rows."""
+    rows = stored(pieces(docs, tokenizer_path, capacity, end, kept_bytes=kept_bytes)
                   .withColumn("item", F.monotonically_increasing_id()), "pieces")
     out = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     full = (rows.filter(F.col("length") == capacity)
