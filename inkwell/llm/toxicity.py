@@ -6,8 +6,8 @@ Two tags (0 clean, 1 toxic) over the words of a sentence; a chain ends at
 features are the lower-cased word without outer punctuation and its prefixes
 of 3 to 6 characters.  Labels are given per document, so the token tags to
 learn from are made first: in a toxic training document the words with a
-feature that tells toxic from clean documents (log-odds of document
-frequencies) are tagged 1, all others 0.
+feature that tells toxic from clean documents (a significance test of document
+frequencies that follows the sizes of the classes) are tagged 1, all others 0.
 
 Forward and backward messages of two tags are one log-ratio each, computed in
 step for all sentences of a batch; their sum is the logit of the marginal.  A
@@ -39,11 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import frame, slices, texts_of
+from inkwell.llm.common import release, slices, texts_of
 
 MAX_DOCS, MAX_CHARS, MAX_FEATURES = 1_000, 20_000, 200_000
 PREFIXES = (3, 4, 5, 6)
-UNIT_BYTES = 8 << 20  # text handled at once by a worker
+UNIT_BYTES = 4 << 20  # text handled at once by a worker
 _EDGE = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + " \n"
 _BREAKS = (".", "!", "?", "\n")
 _WORD = re.compile(r"\S+")
@@ -177,8 +177,32 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS
     return out
 
 
-def fit(texts: list[str], toxic: list[int], min_docs: int = 5, min_log_odds: float = 4.0,
-        min_share: float = 0.025,
+def telling_features(toxic: Counter, clean: Counter, n1: int, n0: int, min_log_odds: float = 2.0) -> set[str]:
+    """Features whose document frequency tells toxic from clean documents: more
+    frequent by ``min_log_odds``, and so much that chance would bring it about
+    for less than one of all features tested.  Chance is the binomial tail (by
+    its Chernoff bound) of the toxic documents among the c that hold it; a
+    feature too rare to pass even if all its documents were toxic is not tested.
+    So the bar follows the sizes of the classes and the number of features."""
+    share = n1 / (n1 + n0)
+    # Tests in order of the best value they can reach: the k-th must reach ln k.
+    reach = np.sort([-(c + clean[f]) * np.log(share) for f, c in toxic.items()])[::-1]
+    tested = int((reach >= np.log(np.arange(1, len(reach) + 1))).sum())
+    bar = np.log(max(1, tested))
+    out = set()
+    for f, c1 in toxic.items():
+        c = c1 + clean[f]
+        if c1 <= share * c:
+            continue
+        q = c1 / c
+        chance = c1 * np.log(q / share) + ((c - c1) * np.log((1 - q) / (1 - share)) if c1 < c else 0.0)
+        odds = np.log((c1 + 0.5) / (n1 + 1)) - np.log((clean[f] + 0.5) / (n0 + 1))
+        if chance >= bar and odds >= min_log_odds:
+            out.add(f)
+    return out
+
+
+def fit(texts: list[str], toxic: list[int], min_docs: int = 3, min_log_odds: float = 2.0,
         max_features: int = MAX_FEATURES, rounds: int = 40, rate: float = 0.3,
         l2: float = 1e-4) -> Crf:
     pairs = dict(zip(texts, toxic))  # copies count once
@@ -196,10 +220,7 @@ def fit(texts: list[str], toxic: list[int], min_docs: int = 5, min_log_odds: flo
             own.update(feats[w])
         seen[bool(label)].update(own)
     n1, n0 = int(y.sum()), int((~y).sum())
-    odds = {f: np.log((c + 0.5) / (n1 + 1)) - np.log((seen[False][f] + 0.5) / (n0 + 1))
-            for f, c in seen[True].items() if c >= min_docs}
-    # Features of many toxic documents (min_share of them), not of a few copies.
-    telling = {f for f, v in odds.items() if v >= min_log_odds and seen[True][f] >= min_share * n1}
+    telling = telling_features(seen[True], seen[False], n1, n0, min_log_odds)
     # Features that come in several documents, most frequent first.
     total = seen[True] + seen[False]
     kept = sorted((f for f, c in total.items() if c >= min_docs), key=lambda f: (-total[f], f))[:max_features]
@@ -281,7 +302,7 @@ class Emissions(dict):
 
     END = 1e6
 
-    def __init__(self, crf: Crf, most: int = 300_000):
+    def __init__(self, crf: Crf, most: int = 150_000):
         super().__init__()
         self.crf, self.most = crf, most
 
@@ -340,6 +361,7 @@ def score_documents(docs: DataFrame, crf: Crf, keep: list[str], text_col: str =
     wanted = list(dict.fromkeys([*keep, text_col]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(forget=True)  # a worker may still hold what another stage kept
         scorer = Scorer(model.value)
         for batch in slices(batches, text_col, UNIT_BYTES):
             score, spans = scorer(texts_of(batch.column(wanted.index(text_col))))
@@ -347,6 +369,8 @@ def score_documents(docs: DataFrame, crf: Crf, keep: list[str], text_col: str =
                 [*(batch.column(wanted.index(k)) for k in keep), pa.array(score),
                  pa.array((score >= 0.5).astype(np.int32)), pa.array(spans, type=SPANS)],
                 names=[*keep, "score", "predicted", "toxic_spans"])
+        del scorer
+        release()
 
     src = docs.select(*wanted)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for k in keep

@@ -69,6 +69,43 @@ def test_chunk_tokens_equal_the_library():
         assert ids == np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
+def test_chunk_tokens_outside_the_plain_characters_and_with_a_full_cache():
+    with open(WORD_BPE, encoding="utf-8") as f:
+        own = packing.ChunkTokens(f.read(), budget=20_000)
+    tok = Tokenizer.from_file(WORD_BPE)
+    odd = ["I'll DON'T 'S x's 'T", "İstanbul ıI ΣΑΣ µm ª²½ Ŀŉſ", "e\u0301 Å ﬁ \x01\x7f a\xadb", "<|startoftext|>a <|endoftext|> <|x",
+           "日本 1٢३ ǅ ß ẞ", "a\x85b\xa0c\u2003d", "".join(map(chr, range(33, 0x250)))]
+    for _ in range(3):
+        words = [" ".join(f"{w}{i}" for i in range(60) for w in ("Word", "été,", "x")) for _ in range(4)]
+        for t, ids in zip(odd + words, own.encode(odd) + own.encode(words)):
+            assert ids == np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    assert max(own.words.bytes, own.chunks.bytes) < 200_000
+
+
+def test_rare_toxic_words_and_small_classes():
+    rng = random.Random(4)
+    plain = [f"w{i}" for i in range(3000)]
+    rude = ["".join(rng.choice("qxzvkj") for _ in range(7)) for _ in range(120)]
+    prose = lambda: [rng.choice(plain) for _ in range(rng.randrange(20, 120))]
+
+    def made(n, words):
+        out = []
+        for _ in range(n):
+            ws = prose()
+            for _ in range(4):
+                ws.insert(rng.randrange(len(ws)), rng.choice(words))
+            out.append(" ".join(ws))
+        return out
+
+    clean = [" ".join(prose()) for _ in range(1000)]
+    crf = toxicity.fit(made(800, rude) + clean[:700], [1] * 800 + [0] * 700)  # a word in 2.6 % of the toxic texts
+    score = toxicity.Scorer(crf)
+    assert (score(made(100, rude))[0] >= 0.5).mean() > 0.95 and (score(clean[700:])[0] >= 0.5).mean() < 0.02
+    crf = toxicity.fit(made(10, rude[:5]) + clean[:58], [1] * 10 + [0] * 58)
+    score = toxicity.Scorer(crf)
+    assert (score(made(50, rude[:5]))[0] >= 0.5).mean() > 0.5 and (score(clean[700:])[0] >= 0.5).mean() < 0.05
+
+
 @pytest.mark.parametrize("ties", [False, True])
 def test_unigram_counts_equal_the_library(ties):
     voc = unigram.ranked_vocabulary(tokenizer_path("piece_bpe_32k.model"))
