@@ -232,7 +232,8 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """(node, root) of every node on an edge (u > v); the root is the smallest
     node of its component.  Alternates large-star steps (every larger
     neighbour points to the smallest neighbour) and small-star steps (so do
-    the smaller ones and the node itself) until nothing changes."""
+    the smaller ones and the node itself) until nothing changes.  Rounds grow
+    with the logarithm of the table; more than ``rounds`` raise an error."""
     def state(e):
         r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         return r["n"], r["h"]
@@ -256,6 +257,8 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components still change after {rounds} rounds")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 

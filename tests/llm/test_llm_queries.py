@@ -178,6 +178,9 @@ def test_links_and_components_of_many_fingerprints(spark):
     chain = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 99)], "u bigint, v bigint")
     found = {r["node"]: r["root"] for r in simhash.components(chain).collect()}
     assert found == {**{i: 0 for i in range(41)}, 99: 99, 100: 99}
+    with pytest.raises(RuntimeError):
+        simhash.components(chain, rounds=1)
+    assert simhash.components(chain.limit(0)).count() == 0
 
 
 def repeated(texts, length=200):
