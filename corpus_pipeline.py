@@ -31,18 +31,21 @@ from inkwell.llm import packing, quality, simhash, suffix, toxicity
 from inkwell.llm.common import prepare, read, stored
 from inkwell.llm.queries import tokenizer_path
 
+# Five stages share an executor's memory: smaller batches to Python workers, and
+# fewer tokens kept there, than the single queries have.
+ARROW_BYTES, KEPT_BYTES = 4 << 20, 16 << 20
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    prepare(spark, ARROW_BYTES)
     crf = toxicity.train(docs, read(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, crf, COLUMNS).filter("predicted = 0").select(*COLUMNS)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    prepare(spark, ARROW_BYTES)
     rules = quality.learn(quality.labelled_sample(docs, read(spark, sf_dir, "labels")))
     return quality.annotate(docs.select(*COLUMNS), rules).filter("kept").select(*COLUMNS)
 
@@ -50,7 +53,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document per component.  The rows to keep are found on ids, text
     hashes and fingerprints; texts take part in one join."""
-    prepare(spark)
+    prepare(spark, ARROW_BYTES)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark"))
     keep = simhash.grouped(docs).groupBy("root").agg(least.alias("one")).select("one.doc_id", "one.mark")
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
@@ -61,7 +64,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    prepare(spark, ARROW_BYTES)
     at = COLUMNS.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,8 +84,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
-    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+    prepare(spark, ARROW_BYTES)
+    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), kept_bytes=KEPT_BYTES)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_low_quality), ("near_dedup", drop_near_duplicates),
@@ -90,7 +93,7 @@ STAGES = [("toxicity", drop_toxic), ("quality", drop_low_quality), ("near_dedup"
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    prepare(spark, ARROW_BYTES)
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
