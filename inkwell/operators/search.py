@@ -18,6 +18,8 @@ Only hits are shuffled, never texts or whole postings.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,12 +64,15 @@ def explode_query_terms(queries: DataFrame, query_col: str = "query") -> DataFra
         F.col("offset").cast("int").alias("offset"), "word")
 
 
-def term_hits(postings: DataFrame, query_terms: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Q2: postings of every query word, tagged with the query term.
+def term_hits(postings: DataFrame | list[DataFrame], query_terms: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Q2: postings of every query word, tagged with the query term.  Postings
+    of several segments are joined each on their own, so each prunes its buckets.
 
     A stored index is partitioned by term bucket (``buckets`` of them); the
     join then also matches the bucket so dynamic partition pruning reads
     only the query words' buckets."""
+    if isinstance(postings, list):
+        return reduce(DataFrame.unionByName, [term_hits(p, query_terms, buckets) for p in postings])
     qt = query_terms.select("query_id", "term_no", "negated", "n_words", "offset",
                             F.col("word").alias("term"))
     on = ["term"]
@@ -79,15 +84,17 @@ def term_hits(postings: DataFrame, query_terms: DataFrame, buckets: int | None =
         (F.col("pos") - F.col("offset")).alias("start"), "wpos")
 
 
-def phrase_hits(postings: DataFrame, query_terms: DataFrame, buckets: int | None = None) -> DataFrame:
+def phrase_hits(postings: DataFrame | list[DataFrame] | None, query_terms: DataFrame, buckets: int | None = None,
+                hits: DataFrame | None = None) -> DataFrame:
     """Q3: occurrences of every query term: (query, term, doc, start, start_wpos).
 
     Relational division: hits grouped by (query, term, doc, start) with one
     hit per phrase word form an occurrence (single words trivially; overlaps
     and repeated words included).  The key contains the start position, so a
-    hot document or word is never one hot group.
+    hot document or word is never one hot group.  ``hits`` are the term hits, if
+    they are known.
     """
-    return (term_hits(postings, query_terms, buckets)
+    return ((term_hits(postings, query_terms, buckets) if hits is None else hits)
             .groupBy("query_id", "term_no", "doc_id", "start")
             .agg(F.count("*").alias("k"), F.first("n_words").alias("n_words"),
                  F.first("negated").alias("negated"), F.min("wpos").alias("start_wpos"))

@@ -22,6 +22,7 @@ from inkwell.streaming import live_index as LS
 from inkwell.streaming import suggest as PS
 from inkwell.operators import fuzzy as E
 from inkwell.operators import live as L
+from inkwell.operators.segments import SegmentStore
 from inkwell.operators import spelling as SP
 from inkwell.operators import similar as W
 from inkwell.session import stored, work_dir
@@ -311,6 +312,58 @@ def q_merged_search(spark, sf_dir):
 
 
 # --- step 8/9: edit distance and spelling suggestions ------------------------
+# --- step 6: segmented live index --------------------------------------------
+def _segment_store(spark, sf_dir, removed=False):
+    """The corpus as one segment and both delta batches appended to it; with
+    ``removed`` also the tombstones deleted and size classes merged."""
+    docs = WL.documents(spark, sf_dir)
+    delta = WL.delta_docs(docs)
+    store = SegmentStore(spark, work_dir(spark, "segments"))
+    store.append(docs, step="build")
+    for batch in (1, 2):
+        store.append(delta.filter(F.col("index_seq") == batch))
+    if removed:
+        store.delete(WL.tombstones(docs))
+        store.merge()
+    return store
+
+
+@register("live_term_stats")
+def q_live_term_stats(spark, sf_dir):
+    return _segment_store(spark, sf_dir).term_stats()
+
+
+@register("live_document_freq")
+def q_live_document_freq(spark, sf_dir):
+    return _segment_store(spark, sf_dir).document_freq(WL.benchmark_phrases(spark, sf_dir))
+
+
+@register("live_index_freq")
+def q_live_index_freq(spark, sf_dir):
+    return _segment_store(spark, sf_dir).index_freq(WL.benchmark_phrases(spark, sf_dir))
+
+
+@register("live_document_term_freq")
+def q_live_document_term_freq(spark, sf_dir):
+    return _segment_store(spark, sf_dir).document_term_freq(WL.lookup_pairs(spark, sf_dir))
+
+
+@register("segment_search")
+def q_segment_search(spark, sf_dir):
+    return _segment_store(spark, sf_dir, removed=True).search(WL.workload(spark))
+
+
+@register("segment_term_stats")
+def q_segment_term_stats(spark, sf_dir):
+    return _segment_store(spark, sf_dir, removed=True).term_stats()
+
+
+@register("segment_history")
+def q_segment_history(spark, sf_dir):
+    """One row per step: documents written, documents that are live after it."""
+    return _segment_store(spark, sf_dir, removed=True).steps()
+
+
 def _log_inputs(spark, sf_dir, make_log=WL.query_log):
     docs = WL.documents(spark, sf_dir)
     stats = P.term_stats(P.build_postings(docs), docs)

@@ -357,6 +357,35 @@ SELECT count(DISTINCT path) AS n_files, 10 AS threshold, count(DISTINCT path) >
 LIVE_SEARCH = _with(DELTA, tokenize_cte("live_docs", "postings"), WORKLOAD_CTE, query_terms_cte(),
                     search_ctes(docs="live_docs")) + "\nSELECT query_id, doc_id, score, location FROM results"
 ORACLES["live_search"] = LIVE_SEARCH
+LIVE_TOKENS = (DELTA, tokenize_cte("live_docs", "postings"))
+_LIVE_STATS = """
+SELECT term, df, cf, round(ln((SELECT count(DISTINCT doc_id) FROM {docs}) / df), 6) AS idf
+FROM (SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM postings {where} GROUP BY term)"""
+_KEPT = f"doc_id % {TOMBSTONE_MOD} <> {TOMBSTONE_REM}"
+ORACLES["live_term_stats"] = _with(*LIVE_TOKENS) + _LIVE_STATS.format(docs="live_docs", where="")
+ORACLES["segment_term_stats"] = _with(*LIVE_TOKENS, f"kept AS (SELECT * FROM live_docs WHERE {_KEPT})") + \
+    _LIVE_STATS.format(docs="kept", where=f"WHERE {_KEPT}")
+for _name in ("document_freq", "index_freq", "document_term_freq"):
+    ORACLES[f"live_{_name}"] = ORACLES[_name].replace(
+        "WITH " + tokenize_cte().strip(), _with(*LIVE_TOKENS), 1)
+ORACLES["segment_search"] = LIVE_SEARCH + f" WHERE {_KEPT}"
+# Two segments of one size class (powers of 4 in documents) are merged.
+ORACLES["segment_history"] = _with(DELTA, f"""
+one AS (SELECT doc_id FROM delta_docs WHERE index_seq = 1), two AS (SELECT doc_id FROM delta_docs WHERE index_seq = 2),
+n AS (
+  SELECT (SELECT count(*) FROM documents) AS n0, (SELECT count(*) FROM one) AS n1, (SELECT count(*) FROM two) AS n2,
+         (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM one)) AS a0,
+         (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM latest)) AS b0,
+         (SELECT count(*) FROM one WHERE doc_id NOT IN (SELECT doc_id FROM two)) AS b1,
+         (SELECT count(*) FROM documents WHERE {_KEPT} AND doc_id NOT IN (SELECT doc_id FROM latest)) AS c0,
+         (SELECT count(*) FROM one WHERE {_KEPT} AND doc_id NOT IN (SELECT doc_id FROM two)) AS c1,
+         (SELECT count(*) FROM two WHERE {_KEPT}) AS c2)""") + """
+SELECT 1 AS version, 'build' AS step, 1::BIGINT AS n_segments, n0 AS written_docs, n0 AS live_docs FROM n
+UNION ALL SELECT 2, 'append', 2, n1, a0 + n1 FROM n
+UNION ALL SELECT 3, 'append', 3, n2, b0 + b1 + n2 FROM n
+UNION ALL SELECT 4, 'delete', 3, 0, c0 + c1 + c2 FROM n
+UNION ALL SELECT 5, 'merge', 2, c1 + c2, c0 + c1 + c2 FROM n
+WHERE floor(ln(n1) / ln(4) + 1e-9) = floor(ln(n2) / ln(4) + 1e-9)"""
 ORACLES["merged_search"] = LIVE_SEARCH
 
 
