@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.text import normalize_term
 from inkwell.plans.asof import last_value_before
+from inkwell.session import stored
 
 # Fixed values of the suggestion rule.
 MAX_DISTANCE = 3
@@ -30,13 +31,21 @@ def is_single_word(q) -> F.Column:
     return ~col.contains(" ") & ~col.startswith("!")
 
 
-def previous_query(log: DataFrame, bucket_width: int | None = None) -> DataFrame:
+def _earliest(df: DataFrame, *cols: F.Column) -> DataFrame:
+    """Rows that precede all rows of a log: no ts, and a sequence below theirs."""
+    return df.select("session_id", *cols, F.lit(None).cast("bigint").alias("ts"), F.lit(-1).alias("_seq"))
+
+
+def previous_query(log: DataFrame, bucket_width: int | None = None, last: DataFrame | None = None) -> DataFrame:
     """(session_id, ts, query, prev): the latest earlier single-word query
-    of the session (multi-word queries are skipped, not resets)."""
+    of the session (multi-word queries are skipped, not resets).  ``last``
+    (session_id, prev) holds what came before the log."""
     d = log.select("session_id", "ts", "query", F.lit(0).alias("_seq"),
                    F.when(is_single_word("query"), F.col("query")).alias("_single"))
+    if last is not None:
+        d = d.unionByName(_earliest(last, F.lit(None).cast("string").alias("query"), F.col("prev").alias("_single")))
     return last_value_before(d, ["session_id"], "ts", "_seq", "_single", "prev",
-                             bucket_width).select("session_id", "ts", "query", "prev")
+                             bucket_width).filter("_seq = 0").select("session_id", "ts", "query", "prev")
 
 
 def _cf(stats: DataFrame, name: str) -> DataFrame:
@@ -60,9 +69,10 @@ def dominates(pairs: DataFrame, stats: DataFrame, ratio: float = RATIO) -> DataF
 
 
 def mine_corrections(log: DataFrame, stats: DataFrame, max_distance: int = MAX_DISTANCE,
-                     ratio: float = RATIO, bucket_width: int | None = None) -> DataFrame:
+                     ratio: float = RATIO, bucket_width: int | None = None,
+                     last: DataFrame | None = None) -> DataFrame:
     """(session_id, ts, word, correction, distance) recorded corrections."""
-    pairs = previous_query(log, bucket_width).filter(
+    pairs = previous_query(log, bucket_width, last).filter(
         is_single_word("query") & F.col("prev").isNotNull())
     pairs = pairs.withColumn("distance", F.levenshtein("prev", "query", max_distance))
     pairs = pairs.filter((F.col("distance") >= 0))
@@ -83,9 +93,24 @@ def suggest(log: DataFrame, stats: DataFrame, max_distance: int = MAX_DISTANCE,
             ratio: float = RATIO, bucket_width: int | None = None) -> DataFrame:
     """P5: (session_id, ts, query, suggestion) for queries with a correction
     recorded at or before them in the session for exactly their text."""
-    corr = mine_corrections(log, stats, max_distance, ratio, bucket_width)
+    return _offered(log, mine_corrections(log, stats, max_distance, ratio, bucket_width), None, bucket_width)
+
+
+def suggest_with(log: DataFrame, stats: DataFrame, last: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """P5 for a log that goes on from an earlier one: (suggestions, corrections
+    recorded in it), given each session's last single-word query (session_id,
+    prev) and the corrections known so far (session_id, word, correction)."""
+    mined = stored(mine_corrections(log, stats, last=last), "mined-corrections")
+    return _offered(log, mined, known), mined
+
+
+def _offered(log: DataFrame, corr: DataFrame, known: DataFrame | None = None,
+             bucket_width: int | None = None) -> DataFrame:
+    no_query = F.lit(None).cast("string").alias("query")
     events = corr.select("session_id", F.col("word").alias("key"), "ts", F.lit(0).alias("_seq"),
-                         F.col("correction").alias("_value"), F.lit(None).cast("string").alias("query"))
+                         F.col("correction").alias("_value"), no_query)
+    if known is not None:
+        events = events.unionByName(_earliest(known, F.col("word").alias("key"), F.col("correction").alias("_value"), no_query))
     asks = log.select("session_id", F.col("query").alias("key"), "ts", F.lit(1).alias("_seq"),
                       F.lit(None).cast("string").alias("_value"), "query")
     merged = last_value_before(events.unionByName(asks), ["session_id", "key"], "ts", "_seq",

@@ -300,7 +300,10 @@ ORACLES["neighbours"] = SIM + "\nSELECT doc_id, pos, wpos, term, prev2, prev1, n
 ORACLES["first_occurrence"] = _with(tokenize_cte()) + """
 SELECT doc_id, term, min(pos) AS pos, min(wpos) AS wpos FROM postings GROUP BY doc_id, term"""
 ORACLES["word_contexts"] = SIM + "\nSELECT word, pre, post FROM ctx"
-ORACLES["context_anchors"] = SIM + "\nSELECT word, pre, post, anchor, side FROM anchors"
+# Only what the anchors need, each part once.
+ORACLES["context_anchors"] = _with(tokenize_cte(), SIM_WORDS, NEIGH[:NEIGH.index("),\ncands AS")] + ")").replace(
+    "postings AS (", "postings AS MATERIALIZED (").replace("neigh AS (", "neigh AS MATERIALIZED (").replace(
+    "firsts AS (", "firsts AS MATERIALIZED (") + "\nSELECT word, pre, post, anchor, side FROM anchors"
 ORACLES["similar_candidates"] = SIM + """
 SELECT word, pre, post, side, doc_id, candidate FROM cands WHERE candidate <> word"""
 ORACLES["similar_first"] = SIM + "\nSELECT word, candidate, n FROM similar_first"

@@ -1,25 +1,47 @@
-import time
+import random
+
+from pyspark.sql import functions as F
 
 from inkwell.operators import spelling as SP
 from inkwell.session import work_dir
 from inkwell.streaming.suggest import run_suggest_stream
 
 
+def arrivals(spark, log, stats, cuts, files_per_batch=None):
+    """Suggestions of a log that arrives in parts, the stream started anew for each."""
+    base = work_dir(spark, "t-stream")
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        part = (F.lit(True) if lo is None else F.coalesce(F.col("ts") > lo, F.lit(False))) & \
+            (F.lit(True) if hi is None else F.coalesce(F.col("ts") <= hi, F.lit(True)))
+        log.filter(part).repartition(4, "ts").write.mode("append").parquet(f"{base}/log")
+        out = run_suggest_stream(spark, f"{base}/log", stats, f"{base}/state", f"{base}/ckpt", files_per_batch)
+    return sorted((tuple(r) for r in out.collect()), key=str)
+
+
 def test_suggest_stream_equals_batch(spark):
     stats = spark.createDataFrame([("recieve", 2), ("receive", 10), ("teh", 1), ("the", 100)],
                                   "term string, cf bigint")
     rows = [(1, 1, "recieve"), (1, 2, "receive"), (2, 3, "teh"), (1, 4, "recieve"),
             (2, 5, "the"), (2, 6, "two words"), (2, 7, "teh"), (1, 8, "recieve")]
     log = spark.createDataFrame(rows, "session_id bigint, ts bigint, query string")
-    base = work_dir(spark, "t-stream")
-    for lo, hi in ((0, 4), (4, 100)):   # two arrivals, the second continues sessions
-        log.filter((log.ts > lo) & (log.ts <= hi)).coalesce(1).write.mode("append").parquet(f"{base}/log")
-        time.sleep(1.1)
-    run_suggest_stream(spark, f"{base}/log", stats, f"{base}/out", f"{base}/ckpt")
-    streamed = sorted(tuple(r) for r in spark.read.parquet(f"{base}/out").collect())
     batch = sorted(tuple(r) for r in SP.suggest(log, stats).collect())
-    assert streamed == batch == [(1, 4, "recieve", "receive"), (1, 8, "recieve", "receive"),
-                                 (2, 7, "teh", "the")]
+    assert batch == [(1, 4, "recieve", "receive"), (1, 8, "recieve", "receive"), (2, 7, "teh", "the")]
+    assert arrivals(spark, log, stats, [4]) == batch
+
+
+def test_suggest_stream_with_nulls_a_long_session_and_restarts(spark):
+    rng = random.Random(2)
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}xyz" for i in range(30)]
+    stats = spark.createDataFrame([(w, 10 + i) for i, w in enumerate(words)], "term string, cf bigint")
+    rows = [(i, None, words[0][0] + words[0][2:]) for i in (1, 2)] + [(None, None, "lost"), (3, 0, None)]
+    for ts in range(1, 600):
+        session = 1 if ts % 3 == 0 else rng.choice([None, 2, 3, 4, 5])
+        w = rng.choice(words[:8])
+        rows.append((session, ts, rng.choice([w, w[0] + w[2:], f"{w} more", None])))
+    log = spark.createDataFrame(rows, "session_id bigint, ts bigint, query string")
+    want = sorted((tuple(r) for r in SP.suggest(log, stats).collect()), key=str)
+    assert len(want) > 50 and {r[0] for r in want} >= {None, 1, 2}
+    assert sorted(arrivals(spark, log, stats, [150, 151, 400]), key=str) == want
 
 
 def test_live_indexer_resumes_after_restart(spark):
