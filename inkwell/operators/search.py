@@ -6,12 +6,15 @@ Plan shape (one Spark job for the whole workload):
   index, so partitions are pruned) through a salt: the planner broadcasts the
   terms if they are small by its own estimate, and if not, a stop word is
   spread over the salts instead of being one hot key;
-* phrases are matched by relational division: hits grouped by (query, term,
-  doc, start) with one hit per phrase word; single words are the n = 1 case;
-* one aggregation by (query, doc) yields score, first location and the
-  "hit a negated term" flag together, so negation needs no extra join;
-  queries without positive terms (negation-only or empty) add one base row
-  per document to that same aggregation.
+* a phrase is matched once, however many queries ask for it: relational
+  division of its hits, grouped by (phrase, doc, start), folded to one row per
+  (phrase, doc) behind the same exchange; single words are the n = 1 case;
+* those rows fan out to the queries' terms, and one aggregation by (query, doc)
+  yields score, first location and the "hit a negated term" flag together, so
+  negation needs no extra join;
+* queries without positive terms (negation-only or empty) return every document
+  that is not excluded; a page of them is cut from the ordered ids by counts of
+  exclusions per block of ids, without holding queries x documents rows.
 
 Only hits are shuffled, never texts or whole postings.
 """
@@ -27,11 +30,14 @@ from inkwell.functions.text import normalize_term, snippet
 from inkwell.operators.postings import DEFAULT_TERM_BUCKETS, Index, term_bucket
 from inkwell.plans.joins import every_pair, salted_join
 from inkwell.plans.ranking import distributed_row_number
+from inkwell.session import stored
 
 # Fixed values of the query syntax.
 NEGATED_PHRASE = r'!"(.+?)"'
 PHRASE = r'"(.+?)"'
 PAGE_SIZE = 10
+# Ids per block when a page is cut from the ordered ids.
+ID_BLOCK = 1024
 
 
 def explode_query_terms(queries: DataFrame, query_col: str = "query") -> DataFrame:
@@ -171,28 +177,49 @@ def negation_only(index: Index, queries: DataFrame, query_terms: DataFrame,
         F.lit(0).alias("location"))
 
 
+def _matched(index: Index, query_terms: DataFrame) -> DataFrame:
+    """(query_id, doc_id, score, first_key, neg) of every query and document
+    that share a term."""
+    uses = query_terms.groupBy("query_id", "term_no").agg(
+        F.first("negated").alias("negated"), F.first("n_words").alias("n_words"),
+        F.array_sort(F.collect_list(F.struct("offset", "word"))).alias("words"))
+    uses = uses.withColumn("phrase", F.concat_ws(" ", F.col("words.word")))
+    # Words hold no blanks, so equal texts are equal phrases.
+    phrases = (uses.select("phrase", "n_words", "words.word").distinct()
+               .select(F.col("phrase").alias("query_id"), F.lit(0).alias("term_no"), F.lit(False).alias("negated"),
+                       "n_words", F.posexplode("word").alias("offset", "word")))
+    # One exchange by (phrase, doc) serves both levels; a group is one document's hits.
+    hits = term_hits(index.postings, phrases, index.buckets).repartition("query_id", "doc_id")
+    per_doc = (hits.groupBy("query_id", "doc_id", "start")
+               .agg(F.count("*").alias("k"), F.first("n_words").alias("n_words"), F.min("wpos").alias("wpos"))
+               .filter("k = n_words").groupBy("query_id", "doc_id")
+               .agg(F.count("*").alias("n"), F.min("wpos").alias("first_wpos"))
+               .withColumnRenamed("query_id", "phrase"))
+    rows = salted_join(per_doc, uses.select("phrase", "query_id", "term_no", "negated", "n_words"), ["phrase"],
+                       spread_by="doc_id")
+    positive = ~F.col("negated")
+    return rows.groupBy("query_id", "doc_id").agg(
+        F.sum(F.when(positive, F.col("n") * F.col("n_words"))).cast("bigint").alias("score"),
+        F.min(F.when(positive, _first_key("term_no", "first_wpos"))).alias("first_key"),
+        F.max(F.col("negated").cast("int")).alias("neg"))
+
+
 def search(index: Index, queries: DataFrame, query_terms: DataFrame | None = None) -> DataFrame:
     """Q11: results(query_id, doc_id, score, location) for a query workload.
 
-    One aggregation by (query, doc) over the term occurrences and, for
-    queries without positive terms, one base row per document: score and
-    first location come from positive occurrences, any negated occurrence
-    removes the document, and base rows turn into score 1, location 0."""
+    Score and first location come from positive occurrences, any negated
+    occurrence removes the document; queries without positive terms get one
+    base row per document, which turns into score 1, location 0."""
     if query_terms is None:
         query_terms = explode_query_terms(queries)
-    occ = phrase_hits(index.postings, query_terms, index.buckets).select(
-        "query_id", "doc_id", "negated", "n_words",
-        F.when(~F.col("negated"), _first_key("term_no", "start_wpos")).alias("first_key"),
-        F.lit(0).alias("base"))
+    found = _matched(index, query_terms).withColumn("base", F.lit(0))
     ids = _negation_only_ids(queries, query_terms)
-    occ = occ.unionByName(every_pair(index.all_docs(), ids, spread_by="doc_id").select(
-        "query_id", "doc_id", F.lit(False).alias("negated"), F.lit(None).cast("int").alias("n_words"),
-        F.lit(None).cast("bigint").alias("first_key"), F.lit(1).alias("base")))
-    agg = occ.groupBy("query_id", "doc_id").agg(
-        F.sum(F.when(~F.col("negated"), F.col("n_words"))).cast("bigint").alias("score"),
-        F.min("first_key").alias("first_key"),
-        F.max(F.col("negated").cast("int")).alias("neg"),
-        F.max("base").alias("base"))
+    base = every_pair(index.all_docs(), ids, spread_by="doc_id").select(
+        "query_id", "doc_id", F.lit(None).cast("bigint").alias("score"),
+        F.lit(None).cast("bigint").alias("first_key"), F.lit(0).alias("neg"), F.lit(1).alias("base"))
+    agg = found.unionByName(base).groupBy("query_id", "doc_id").agg(
+        F.max("score").alias("score"), F.max("first_key").alias("first_key"),
+        F.max("neg").alias("neg"), F.max("base").alias("base"))
     hit = F.col("score").isNotNull()
     return agg.filter((F.col("neg") == 0) & (hit | (F.col("base") == 1))).select(
         "query_id", "doc_id",
@@ -200,6 +227,52 @@ def search(index: Index, queries: DataFrame, query_terms: DataFrame | None = Non
         F.when(hit, _location("first_key")).otherwise(F.lit(0)).alias("location"))
 
 
+def search_page(index: Index, queries: DataFrame, page_no: int = 1, size: int = PAGE_SIZE,
+                block: int = ID_BLOCK) -> DataFrame:
+    """Q9/Q10/Q13: the rows of ``page(search(...))`` without the results that
+    no page shows: (query_id, doc_id, score, location, rank)."""
+    query_terms = explode_query_terms(queries)
+    found = stored(_matched(index, query_terms), "matched")
+    hits = found.filter("neg = 0 and score is not null").select(
+        "query_id", "doc_id", "score", _location("first_key").alias("location"))
+    ids = _negation_only_ids(queries, query_terms)
+    excluded = found.filter("neg = 1").join(ids, "query_id", "left_semi").select("query_id", "doc_id")
+    others = complement_page(index.all_docs(), ids, excluded, page_no, size, block).select(
+        "query_id", "doc_id", F.lit(1).cast("bigint").alias("score"), F.lit(0).alias("location"), "rank")
+    return page(hits, page_no, size).unionByName(others)
+
+
+def complement_page(docs: DataFrame, ids: DataFrame, excluded: DataFrame, page_no: int, size: int,
+                    block: int = ID_BLOCK) -> DataFrame:
+    """(query_id, doc_id, rank) of one page per query of ``ids`` of the distinct
+    documents, by doc_id, that ``excluded`` (query_id, doc_id) does not name.
+
+    The ordered ids are cut into blocks.  A query's first hi + e ids, e being the
+    number of its exclusions, hold hi others, so only the blocks below that are
+    counted; the running count finds the blocks with the page's ranks, and only
+    their ids are listed."""
+    lo, hi = (page_no - 1) * size, page_no * size
+    ordered = distributed_row_number(docs.select(F.lit(0).alias("_all"), "doc_id"), "_all",
+                                     [F.asc("doc_id")], "_place", "bigint").select(
+        "doc_id", F.floor((F.col("_place") - 1) / block).alias("block"))
+    ordered = stored(ordered, "ordered-ids")
+    excluded = stored(excluded.join(ordered, "doc_id"), "exclusions")
+    sizes = ordered.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    gone = excluded.groupBy("query_id", "block").agg(F.count(F.lit(1)).alias("gone"))
+    reach = (ids.join(gone.groupBy("query_id").agg(F.sum("gone").alias("e")), "query_id", "left")
+             .select("query_id", F.floor((F.coalesce("e", F.lit(0)) + F.lit(hi - 1)) / block).alias("last")))
+    counted = (reach.select("query_id", F.explode(F.sequence(F.lit(0).cast("bigint"), "last")).alias("block"))
+               .join(sizes, "block").join(gone, ["query_id", "block"], "left")
+               .withColumn("left", F.col("n") - F.coalesce("gone", F.lit(0))))
+    before = Window.partitionBy("query_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shown = (counted.withColumn("before", F.coalesce(F.sum("left").over(before), F.lit(0)))
+             .filter((F.col("before") < hi) & (F.col("before") + F.col("left") > lo)).select("query_id", "block", "before"))
+    rows = shown.join(ordered, "block").join(excluded.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
+    within = Window.partitionBy("query_id", "block").orderBy("doc_id")
+    return (rows.withColumn("rank", (F.col("before") + F.row_number().over(within)).cast("int"))
+            .filter((F.col("rank") > lo) & (F.col("rank") <= hi)).select("query_id", "doc_id", "rank"))
+
+
 def rank(results: DataFrame) -> DataFrame:
     """Q12: rank per query by score desc, then doc_id.  Distributed: a query
     with a huge result list is split over range partitions, not one task."""
@@ -236,6 +309,6 @@ def with_snippet(results: DataFrame, docs: DataFrame, line_break: bool = True) -
 def search_report(index: Index, queries: DataFrame, page_no: int = 1,
                   size: int = PAGE_SIZE) -> DataFrame:
     """Q15: one page per query: rank, document, score and snippet."""
-    top = page(search(index, queries), page_no, size)
+    top = search_page(index, queries, page_no, size)
     return with_snippet(top, index.docs).select(
         "query_id", "rank", "doc_id", "score", "location", "snippet")

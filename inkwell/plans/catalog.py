@@ -141,7 +141,7 @@ def q_search_rank(spark, sf_dir):
 
 @register("search_page")
 def q_search_page(spark, sf_dir):
-    return S.page(_results(spark, sf_dir)[2], page_no=2)
+    return S.search_page(_index(spark, sf_dir), WL.workload(spark), page_no=2)
 
 
 @register("snippets")

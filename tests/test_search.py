@@ -76,3 +76,30 @@ def test_rank_keeps_null_groups(spark):
     rows = spark.createDataFrame([(None, 3), (None, 5), (1, 4)], "g bigint, x bigint")
     got = distributed_row_number(rows, "g", [F.asc("x")]).collect()
     assert sorted((r["g"] is None, r["x"], r["rank"]) for r in got) == [(False, 4, 1), (True, 3, 1), (True, 5, 2)]
+
+
+def test_pages_without_positive_terms_are_cut_from_the_ids(spark, docs_df):
+    """Pages of negation-only and empty queries equal those of the whole
+    results, at and beyond block borders, with long runs of exclusions."""
+    docs = docs_df([(i * 3, f"{'low' if i < 70 else 'high'} word{i % 4} {'rare' if i in (1, 71, 99) else ''}") for i in range(100)])
+    idx = build_index(docs)
+    queries = spark.createDataFrame(
+        [(1, "!low"), (2, "!rare"), (3, ""), (4, None), (5, "!low !high"), (6, "word1 !low"), (7, "!word0 !word1"), (8, "!none"),
+         (9, '!"low word2"'), (10, "absent")], "query_id bigint, query string")
+    whole = S.search(idx, queries)
+    for page_no, size, block in ((1, 10, 8), (2, 10, 8), (4, 10, 8), (11, 10, 8), (1, 100, 16), (2, 7, 1), (1, 10, 1024)):
+        want = S.page(whole, page_no, size).select("query_id", "doc_id", "score", "location", "rank")
+        got = S.search_page(idx, queries, page_no, size, block)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())), (page_no, size, block)
+
+
+def test_equal_phrases_of_many_queries_are_matched_once(spark, docs_df):
+    idx = build_index(docs_df([(i, f"a b a b c{i % 3} a") for i in range(12)]))
+    one = [(1, '"a b" c1 !c2')]
+    same = S.search(idx, spark.createDataFrame(one, "query_id bigint, query string"))
+    many = S.search(idx, spark.createDataFrame([(i, one[0][1]) for i in range(50)], "query_id bigint, query string"))
+    want = sorted(tuple(r)[1:] for r in same.collect())
+    got = {}
+    for r in many.collect():
+        got.setdefault(r["query_id"], []).append(tuple(r)[1:])
+    assert len(got) == 50 and all(sorted(v) == want for v in got.values())
