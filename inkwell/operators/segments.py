@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from inkwell.functions.text import term_positions
 from inkwell.operators.postings import DEFAULT_TERM_BUCKETS, Index, build_postings, term_bucket
 from inkwell.operators.search import explode_query_terms, phrase_hits, search, term_hits
+from inkwell.operators.similar import frames, similar_in_frames, write_frames
 from inkwell.operators.stats import phrase_terms
 
 # Segments of TIER^k to TIER^(k+1) - 1 documents are one size class; a class
@@ -49,6 +50,7 @@ _BITMAP = 32768  # Spark's bitmap functions: documents per bitmap
 DOCS = "doc_no bigint, doc_id bigint, text string"
 POSTINGS = "doc_no bigint, pos int, wpos int, term string, term_bucket int"
 STATS = "term string, df bigint, cf bigint"
+FRAMES = "pre string, post string, word string, n bigint"
 POINTER = "step string, kind string, id int, docs bigint, numbers bigint, removed map<int,bigint>"
 
 
@@ -101,8 +103,8 @@ def _is_set(bits: str, number: str) -> Column:
 class SegmentStore:
     """The segments below ``base`` and the steps that change them."""
 
-    def __init__(self, spark: SparkSession, base: str, buckets: int = DEFAULT_TERM_BUCKETS):
-        self.spark, self.base, self.buckets = spark, base.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, base: str, buckets: int = DEFAULT_TERM_BUCKETS, with_frames: bool = False):
+        self.spark, self.base, self.buckets, self.with_frames = spark, base.rstrip("/"), buckets, with_frames
         self.version, self.parts = 0, []
         state = self.history()
         for row in state if state else []:
@@ -209,6 +211,8 @@ class SegmentStore:
         postings = build_postings(stored.select(F.col("doc_no").alias("doc_id"), "text"))
         self._write_postings(postings.withColumnRenamed("doc_id", "doc_no"), path)
         statistics(stored).write.mode("overwrite").parquet(f"{path}/term_stats")
+        if self.with_frames:
+            write_frames(frames(stored), f"{path}/frames")
         return self._part(ident, stored)
 
     def _part(self, ident: int, docs: DataFrame) -> Part:
@@ -235,6 +239,8 @@ class SegmentStore:
          .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("doc_no") + 1)).alias("bits"))
          .write.mode("overwrite").parquet(f"{path}/bits"))
         statistics(stored, "seg").write.mode("overwrite").parquet(f"{path}/term_stats")
+        if self.with_frames:
+            write_frames(frames(stored, "seg"), f"{path}/frames")
         return Part("removal", ident, sum(counts.values()), 0, counts)
 
     def append(self, docs: DataFrame, removed: DataFrame | None = None, step: str = "append") -> None:
@@ -289,6 +295,9 @@ class SegmentStore:
         shifted(docs).write.mode("overwrite").parquet(f"{path}/docs")
         self._write_postings(shifted(postings), path)
         self._subtracted({p.id for p in sources}).write.mode("overwrite").parquet(f"{path}/term_stats")
+        if self.with_frames:
+            write_frames(self._signed({p.id for p in sources}, "frames", FRAMES, ["n"]).groupBy("pre", "post", "word")
+                         .agg(F.sum("n").alias("n")).filter("n > 0"), f"{path}/frames")
         merged = self._part(ident, self._read(DOCS, "segment", ident, "docs"))
         merged.numbers = max(merged.numbers, start)
         old = {p.id for p in sources}
@@ -355,15 +364,28 @@ class SegmentStore:
             "query_id", "doc_id", "score", "location")
 
     # -- statistics -------------------------------------------------------------------
+    def _signed(self, segments: set[int], table: str, schema: str, values: list[str]) -> DataFrame:
+        """A stored table of some segments, and what was removed from them with
+        negative values."""
+        rows = [self._read(schema, "segment", s, table) for s in sorted(segments)]
+        for p in self.removals():
+            gone = self._read(f"seg int, {schema}", "removal", p.id, table).filter(F.col("seg").isin(segments))
+            rows.append(gone.drop("seg").withColumns({v: -F.col(v) for v in values}))
+        return self._union(rows, schema)
+
     def _subtracted(self, segments: set[int]) -> DataFrame:
         """(term, df, cf) of the live documents of some segments: what is stored
         minus what was removed."""
-        stored = [self._read(STATS, "segment", s, "term_stats") for s in sorted(segments)]
-        gone = [self._read(f"seg int, {STATS}", "removal", p.id, "term_stats").filter(F.col("seg").isin(segments))
-                .select("term", (-F.col("df")).alias("df"), (-F.col("cf")).alias("cf")) for p in self.removals()]
-        return (self._union([*stored, *gone], STATS).groupBy("term")
+        return (self._signed(segments, "term_stats", STATS, ["df", "cf"]).groupBy("term")
                 .agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).filter("df > 0"))
 
+    def similar_words(self, words: DataFrame) -> DataFrame:
+        """W7 over the live documents, from the stored frames (a store that is
+        kept with ``with_frames``)."""
+        if not self.with_frames:
+            raise ValueError("this store is kept without frames")
+        return similar_in_frames(self._signed({p.id for p in self.segments()}, "frames", FRAMES, ["n"]), words)
+
     def term_stats(self) -> DataFrame:
         """(term, df, cf, idf) of the live documents, from stored statistics."""
         n = self.live_count()

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.text import term_positions
 from inkwell.operators.postings import term_counts
+from inkwell.plans.joins import salted_join
 from inkwell.session import stored
 
 PAGE_SIZE = 10
@@ -156,6 +157,37 @@ def similar_words(docs: DataFrame, words: DataFrame, stats: DataFrame | None = N
     return hits.groupBy("word", "candidate").agg(F.sum("n").alias("n"))
 
 
+def frames(docs: DataFrame, *keys: str) -> DataFrame:
+    """(keys, pre, post, word, n): how often each word stands between two others.
+    Additive over documents, so that frames of deltas are added and those of
+    removed documents subtracted."""
+    carried = F.struct(*keys) if keys else F.lit(0)
+    rows = neighbours(docs.select(carried.alias("doc_id"), "text")).filter(
+        F.col("prev1").isNotNull() & F.col("next1").isNotNull())
+    return rows.groupBy(*[F.col(f"doc_id.{k}").alias(k) for k in keys], F.col("prev1").alias("pre"),
+                        F.col("next1").alias("post"), F.col("term").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def write_frames(rows: DataFrame, path: str) -> None:
+    """Frames in files of a size, hot ones split over several, sorted by frame."""
+    (rows.hint("rebalance", "pre", "post").sortWithinPartitions("pre", "post", "word")
+     .write.mode("overwrite").parquet(path))
+
+
+def similar_in_frames(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """W7 from frames (with signed counts, if some were removed): no text is
+    read.  The asked words' frames are found first; of the others only those
+    that share one are added up."""
+    asked = words.select("word").distinct()
+    own = stored(rows.join(asked, "word", "left_semi").groupBy("word", "pre", "post").agg(F.sum("n").alias("n"))
+                 .filter("n > 0").select("word", "pre", "post"), "contexts")
+    near = (rows.join(own.select("pre", "post").distinct(), ["pre", "post"], "left_semi")
+            .groupBy("pre", "post", "word").agg(F.sum("n").alias("n")).filter("n > 0")
+            .withColumnRenamed("word", "candidate"))
+    hits = salted_join(near, own, ["pre", "post"], spread_by="candidate").filter("candidate <> word")
+    return hits.groupBy("word", "candidate").agg(F.sum("n").alias("n"))
+
+
 def similar_report(similar: DataFrame, page_no: int = 1, size: int = PAGE_SIZE) -> DataFrame:
     """Candidates with a non-digit character, by count desc then word,
     one page per query word (window group limit keeps it bounded per task)."""

@@ -258,6 +258,14 @@ def q_similar_all(spark, sf_dir):
     return W.similar_words(docs, words, mode="all")
 
 
+@register("similar_frames")
+def q_similar_frames(spark, sf_dir):
+    docs = WL.documents(spark, sf_dir)
+    path = f"{work_dir(spark, 'frames')}/t"
+    W.write_frames(W.frames(docs), path)
+    return W.similar_in_frames(spark.read.parquet(path), WL.similar_words_input(spark))
+
+
 @register("similar_report")
 def q_similar_report(spark, sf_dir):
     docs, words = _sim_inputs(spark, sf_dir)
@@ -313,12 +321,12 @@ def q_merged_search(spark, sf_dir):
 
 # --- step 8/9: edit distance and spelling suggestions ------------------------
 # --- step 6: segmented live index --------------------------------------------
-def _segment_store(spark, sf_dir, removed=False):
+def _segment_store(spark, sf_dir, removed=False, with_frames=False):
     """The corpus as one segment and both delta batches appended to it; with
     ``removed`` also the tombstones deleted and size classes merged."""
     docs = WL.documents(spark, sf_dir)
     delta = WL.delta_docs(docs)
-    store = SegmentStore(spark, work_dir(spark, "segments"))
+    store = SegmentStore(spark, work_dir(spark, "segments"), with_frames=with_frames)
     store.append(docs, step="build")
     for batch in (1, 2):
         store.append(delta.filter(F.col("index_seq") == batch))
@@ -358,6 +366,12 @@ def q_segment_term_stats(spark, sf_dir):
     return _segment_store(spark, sf_dir, removed=True).term_stats()
 
 
+@register("live_similar_all")
+def q_live_similar_all(spark, sf_dir):
+    store = _segment_store(spark, sf_dir, removed=True, with_frames=True)
+    return store.similar_words(WL.similar_words_input(spark))
+
+
 @register("segment_history")
 def q_segment_history(spark, sf_dir):
     """One row per step: documents written, documents that are live after it."""

@@ -316,6 +316,7 @@ ctx_all AS (
 SELECT c.word, n.term AS candidate, count(*) AS n
 FROM neigh n JOIN ctx_all c ON n.prev1 = c.pre AND n.next1 = c.post
 WHERE n.term <> c.word GROUP BY c.word, n.term"""
+ORACLES["similar_frames"] = ORACLES["similar_all"]
 ORACLES["similar_report"] = SIM + """
 SELECT word, candidate, n, rank FROM (
   SELECT word, candidate, n,
@@ -372,6 +373,7 @@ for _name in ("document_freq", "index_freq", "document_term_freq"):
     ORACLES[f"live_{_name}"] = ORACLES[_name].replace(
         "WITH " + tokenize_cte().strip(), _with(*LIVE_TOKENS), 1)
 ORACLES["segment_search"] = LIVE_SEARCH + f" WHERE {_KEPT}"
+LIVE_KEPT = (DELTA, f"kept AS (SELECT * FROM live_docs WHERE {_KEPT})", tokenize_cte("kept", "postings"))
 # Two segments of one size class (powers of 4 in documents) are merged.
 ORACLES["segment_history"] = _with(DELTA, f"""
 one AS (SELECT doc_id FROM delta_docs WHERE index_seq = 1), two AS (SELECT doc_id FROM delta_docs WHERE index_seq = 2),
@@ -568,3 +570,4 @@ _SPELL_BY_USER = _with(tokenize_cte(), _head + _BY_USER.lstrip() + _rest[_rest.i
 for _q in ("previous_query", "dominates", "mine_corrections", "latest_corrections", "suggest", "edit_distance"):
     ORACLES[f"{_q}_by_user"] = _SPELL_BY_USER + ORACLES[_q].removeprefix(SPELL)
 ORACLES["suggest_stream_by_user"] = ORACLES["suggest_by_user"]
+ORACLES["live_similar_all"] = ORACLES["similar_all"].replace("WITH " + tokenize_cte().strip(), _with(*LIVE_KEPT), 1)
