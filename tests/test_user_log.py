@@ -11,7 +11,7 @@ def test_one_session_with_a_third_of_the_log(spark):
     stats = spark.createDataFrame([(w, 200 - i) for i, w in enumerate(words)], "term string, cf bigint")
     users = [1 if i % 3 == 0 else 2 + i % 29 for i in range(1500)]
     events = spark.createDataFrame(list(enumerate(users)), "event_id bigint, user_id bigint")
-    log = WL.user_query_log(events, stats).localCheckpoint()
+    log = WL.user_query_log(events, stats).checkpoint()
     rows = sorted((r["session_id"], r["ts"], r["query"]) for r in log.collect())
     assert len(rows) == 1500 and [(u, t) for u, t, _ in rows] == sorted((u, t) for t, u in enumerate(users))
     assert sum(u == 1 for u, _, _ in rows) == 500
