@@ -183,7 +183,8 @@ def _matched(index: Index, query_terms: DataFrame) -> DataFrame:
     uses = query_terms.groupBy("query_id", "term_no").agg(
         F.first("negated").alias("negated"), F.first("n_words").alias("n_words"),
         F.array_sort(F.collect_list(F.struct("offset", "word"))).alias("words"))
-    uses = uses.withColumn("phrase", F.concat_ws(" ", F.col("words.word")))
+    # Stored, so that the planner knows its size before the postings are read.
+    uses = stored(uses.withColumn("phrase", F.concat_ws(" ", F.col("words.word"))), "query-phrases")
     # Words hold no blanks, so equal texts are equal phrases.
     phrases = (uses.select("phrase", "n_words", "words.word").distinct()
                .select(F.col("phrase").alias("query_id"), F.lit(0).alias("term_no"), F.lit(False).alias("negated"),
