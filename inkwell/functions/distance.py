@@ -8,6 +8,8 @@ is the same for two Python strings (the suggestion stream, tests).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,13 +27,15 @@ def edit_distance(a, b, max_distance: int | None = None) -> Column:
     return F.levenshtein(ca, cb, max_distance)
 
 
-def weighted_distance(s: str, t: str, costs=DEFAULT_COSTS, hyphen: str = "plain") -> int:
+def weighted_distance(s: str, t: str, costs=DEFAULT_COSTS, hyphen: str = "plain",
+                      weight: Callable[[str, str], int] | None = None) -> int:
     """Weighted edit distance of two strings (dynamic programming over prefixes).
 
     ``hyphen="gap"`` treats '-' as the gap symbol of the cost function: a
     real hyphen inserted or deleted costs the match cost, and a hyphen
     against another character costs an indel.  The first row and column
-    always cost ``indel`` per character.
+    always cost ``indel`` per character.  ``weight(x, y)`` replaces the cost
+    function; '-' on one side then stands for a deletion or an insertion.
     """
     match, indel, mismatch = costs
     n, m = len(s), len(t)
@@ -42,14 +46,17 @@ def weighted_distance(s: str, t: str, costs=DEFAULT_COSTS, hyphen: str = "plain"
     gap = hyphen == "gap"
 
     def w(x: str, y: str) -> int:
+        if weight:
+            return weight(x, y)
         if x == y:
             return match
         if gap and (x == GAP or y == GAP):
             return indel
         return mismatch
 
-    del_cost = [match if gap and c == GAP else indel for c in s]
-    ins_cost = [match if gap and c == GAP else indel for c in t]
+    named = gap or weight is not None  # '-' is the gap symbol
+    del_cost = [w(c, GAP) if named else indel for c in s]
+    ins_cost = [w(GAP, c) if named else indel for c in t]
     prev = [j * indel for j in range(m + 1)]
     for i in range(1, n + 1):
         cur = [i * indel] + [0] * m
@@ -61,11 +68,15 @@ def weighted_distance(s: str, t: str, costs=DEFAULT_COSTS, hyphen: str = "plain"
     return prev[m]
 
 
-def weighted_edit_distance(a, b, costs=DEFAULT_COSTS, hyphen: str = "plain") -> Column:
+def weighted_edit_distance(a, b, costs=DEFAULT_COSTS, hyphen: str = "plain",
+                           weight: Callable[[Column, Column], Column] | None = None) -> Column:
     """Weighted distance column (null when either side is null).
 
     ``weighted_distance`` as nested folds over character arrays: the outer
-    one carries a row of the table, the inner one builds the next row."""
+    one carries a row of the table, the inner one builds the next row.
+    ``weight(x, y)`` is a column expression over two characters that replaces
+    the cost function (E4); the literal '-' on one side stands for a deletion
+    or an insertion.  The first row and column keep the indel cost."""
     match, indel, mismatch = (F.lit(int(c)).cast("bigint") for c in costs)
     ca = F.col(a) if isinstance(a, str) else a
     cb = F.col(b) if isinstance(b, str) else b
@@ -74,10 +85,17 @@ def weighted_edit_distance(a, b, costs=DEFAULT_COSTS, hyphen: str = "plain") ->
     def chars(c):
         return F.when(F.length(c) > 0, F.split(c, "")).otherwise(F.array().cast("array<string>"))
 
-    def step_cost(x):  # of inserting or deleting x
+    def deleted(x):
+        if weight:
+            return weight(x, F.lit(GAP)).cast("bigint")
         return F.when(x == GAP, match).otherwise(indel) if gap else indel
 
+    def inserted(y):
+        return weight(F.lit(GAP), y).cast("bigint") if weight else deleted(y)
+
     def pair_cost(x, y):
+        if weight:
+            return weight(x, y).cast("bigint")
         out = F.when(x == y, match)
         if gap:
             out = out.when((x == GAP) | (y == GAP), indel)
@@ -91,8 +109,8 @@ def weighted_edit_distance(a, b, costs=DEFAULT_COSTS, hyphen: str = "plain") ->
             F.sequence(F.lit(0), F.size(state["other"]) - 1),
             start,
             lambda cur, j: F.array_append(cur, F.least(
-                F.get(row, j + 1) + step_cost(x),
-                F.element_at(cur, -1) + step_cost(F.get(state["other"], j)),
+                F.get(row, j + 1) + deleted(x),
+                F.element_at(cur, -1) + inserted(F.get(state["other"], j)),
                 F.get(row, j) + pair_cost(x, F.get(state["other"], j)))))
         return F.struct(cells.alias("row"), state["other"].alias("other"))
 

@@ -427,10 +427,17 @@ def _edit_distances(pairs):
                         D.edit_distance("prev", "query").alias("distance"))
 
 
-def _weighted_distances(pairs):
+def _vowel_weight(x, y):
+    """A cost function of its own (E4): one vowel for another is half a step."""
+    vowels = ["a", "e", "i", "o", "u"]
+    return (F.when(x == y, 0).when((x == D.GAP) | (y == D.GAP), 2)
+            .when(x.isin(vowels) & y.isin(vowels), 1).otherwise(3))
+
+
+def _weighted_distances(pairs, costs=(0, 1, 2), **how):
     distinct = pairs.select("prev", "query").distinct()
     scored = distinct.withColumn(
-        "distance", D.weighted_edit_distance("prev", "query", costs=(0, 1, 2), hyphen="gap"))
+        "distance", D.weighted_edit_distance("prev", "query", costs=costs, **(how or {"hyphen": "gap"})))
     return pairs.select("session_id", "ts", "prev", "query").join(scored, ["prev", "query"])
 
 
@@ -444,6 +451,12 @@ def q_edit_distance_weighted(spark, sf_dir):
     return _weighted_distances(_pairs(spark, sf_dir)[0])
 
 
+@register("edit_distance_custom")
+def q_edit_distance_custom(spark, sf_dir):
+    """The cost function replaced by one in which vowels are close."""
+    return _weighted_distances(_pairs(spark, sf_dir)[0], costs=(0, 2, 3), weight=_vowel_weight)
+
+
 # The same over the log whose sessions are whole user histories.
 for _name, _of in {
         "previous_query": lambda log, stats: SP.previous_query(log),

@@ -452,6 +452,39 @@ SELECT * FROM (
   FROM qlog q) WHERE suggestion IS NOT NULL"""
 ORACLES["edit_distance"] = SPELL + f"""
 SELECT session_id, ts, prev, query, CAST({_lev('prev', 'query')} AS INTEGER) AS distance FROM pairs"""
+
+
+def _weighted(indel: int, weight: str) -> str:
+    """The table of a weighted distance cell by cell, all pairs in step.
+    ``win`` holds the last m + 2 cells: diagonal, above, ..., left.  ``weight``
+    is the cost of two characters in SQL, {x} and {y}."""
+    a, b = "substr(a, i, 1)", "substr(b, j, 1)"
+    cost = [weight.format(x=x, y=y) for x, y in ((a, "'-'"), ("'-'", b), (a, b))]
+    return f""",
+asked AS MATERIALIZED (SELECT DISTINCT prev AS a, query AS b, length(prev) AS n, length(query) AS m FROM pairs),
+cells AS (
+  SELECT a, b, n, m, 0 AS k, 1 AS i, 0 AS j, [0] || list_transform(range(0, m + 1), lambda c: c * {indel}) AS win
+  FROM asked WHERE n > 0 AND m > 0
+  UNION ALL
+  SELECT a, b, n, m, k + 1, (k + 1) // (m + 1) + 1, (k + 1) % (m + 1),
+         list_slice(win, 2, m + 2) || [CASE WHEN j = 0 THEN i * {indel} ELSE
+           least(win[2] + {cost[0]}, win[m + 2] + {cost[1]}, win[1] + {cost[2]}) END]
+  FROM cells WHERE k < n * (m + 1)
+),
+scored AS (
+  SELECT a, b, win[m + 2] AS distance FROM cells WHERE k = n * (m + 1)
+  UNION ALL SELECT a, b, greatest(n, m) * {indel} FROM asked WHERE n = 0 OR m = 0
+)
+SELECT p.session_id, p.ts, p.prev, p.query, CAST(s.distance AS BIGINT) AS distance
+FROM pairs p JOIN scored s ON s.a = p.prev AND s.b = p.query"""
+
+
+_RECURSIVE = SPELL.replace("WITH ", "WITH RECURSIVE ", 1)
+ORACLES["edit_distance_weighted"] = _RECURSIVE + _weighted(
+    1, "(CASE WHEN {x} = {y} THEN 0 WHEN {x} = '-' OR {y} = '-' THEN 1 ELSE 2 END)")
+ORACLES["edit_distance_custom"] = _RECURSIVE + _weighted(
+    2, "(CASE WHEN {x} = {y} THEN 0 WHEN {x} = '-' OR {y} = '-' THEN 2 "
+       "WHEN {x} IN ('a', 'e', 'i', 'o', 'u') AND {y} IN ('a', 'e', 'i', 'o', 'u') THEN 1 ELSE 3 END)")
 ORACLES["fuzzy_match"] = _with(
     tokenize_cte(), "bench AS (SELECT item_id AS doc_id, text FROM benchmark)",
     tokenize_cte("bench", "bench_postings")) + f"""
@@ -569,5 +602,7 @@ _head, _rest = QLOG.split("qlog AS (")
 _SPELL_BY_USER = _with(tokenize_cte(), _head + _BY_USER.lstrip() + _rest[_rest.index("  UNION ALL"):])
 for _q in ("previous_query", "dominates", "mine_corrections", "latest_corrections", "suggest", "edit_distance"):
     ORACLES[f"{_q}_by_user"] = _SPELL_BY_USER + ORACLES[_q].removeprefix(SPELL)
+ORACLES["edit_distance_weighted_by_user"] = _SPELL_BY_USER.replace("WITH ", "WITH RECURSIVE ", 1) + \
+    ORACLES["edit_distance_weighted"].removeprefix(_RECURSIVE)
 ORACLES["suggest_stream_by_user"] = ORACLES["suggest_by_user"]
 ORACLES["live_similar_all"] = ORACLES["similar_all"].replace("WITH " + tokenize_cte().strip(), _with(*LIVE_KEPT), 1)

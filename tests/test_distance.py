@@ -24,6 +24,27 @@ def test_golden_udf(spark):
     assert got == [2, 2, 0, 3]  # all four with costs (0, 1, 1)
 
 
+def test_columns_equal_the_plain_table(spark):
+    """All three forms of the cost function, hyphens and empty words included."""
+    words = ["", "-", "a-b", "ab", "co-op", "coop", "--x", "aeiou", "uoxea", "été"]
+    df = spark.createDataFrame([(a, b) for a in words for b in words], "a string, b string")
+
+    def plain(x, y):
+        return 0 if x == y else 2 if "-" in (x, y) else 1 if x in "aeiou" and y in "aeiou" else 3
+
+    def column(x, y):
+        v = list("aeiou")
+        return (F.when(x == y, 0).when((x == "-") | (y == "-"), 2).when(x.isin(v) & y.isin(v), 1).otherwise(3))
+
+    rows = df.select("a", "b", weighted_edit_distance("a", "b", (0, 1, 2)).alias("p"),
+                     weighted_edit_distance("a", "b", (0, 1, 2), "gap").alias("g"),
+                     weighted_edit_distance("a", "b", (0, 2, 3), weight=column).alias("w")).collect()
+    for r in rows:
+        want = (weighted_distance(r.a, r.b, (0, 1, 2)), weighted_distance(r.a, r.b, (0, 1, 2), "gap"),
+                weighted_distance(r.a, r.b, (0, 2, 3), weight=plain))
+        assert (r.p, r.g, r.w) == want, r
+
+
 def test_fuzzy_match_brute_force(spark):
     vocab = ["the", "then", "than", "they", "a", "an", "ab", "abc", "été", "ete", "tea",
              "theatre", "thermal", "other", "x", "xy", "zzzz"]
