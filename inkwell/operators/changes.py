@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions.signatures import signature
+from inkwell.session import stored
 
 CHANGE_LOG_SCHEMA = "path string, change string, content string, signature string, batch bigint"
 
@@ -55,6 +56,47 @@ def diff_signatures(old: DataFrame, new: DataFrame) -> DataFrame:
         F.col("change").isNotNull()).withColumnRenamed("new_sig", "signature")
 
 
+def staged_signatures(files: DataFrame, baseline: DataFrame | None = None, method: str | None = None) -> DataFrame:
+    """C1/C5 in stages: (path, method, n_bytes, quick, signature, digested).
+
+    A first pass takes each content's length and a 64-bit hash of it, both cheap
+    and narrow.  Files that have both, and their method, from ``baseline`` (an
+    earlier result) keep its signature; only the contents of the others are read
+    again and digested.  A path occurs once in a snapshot.  Without a baseline
+    all files are digested.  A null content has null length and signature; it
+    differs from an empty one.  Modification times are no content (``method``
+    "mtime" gives null).
+    """
+    content = F.col("content").cast("binary")
+    named = files.select("path", (F.lit(method) if method else F.col("method")).alias("method"), "content",
+                         F.octet_length(content).cast("bigint").alias("n_bytes"), F.xxhash64(content).alias("quick"))
+    marks = named.drop("content")
+    if baseline is None:
+        baseline = marks.withColumn("signature", F.lit(None).cast("string")).limit(0)
+    old = baseline.select("path", *[F.col(c).alias(f"old_{c}") for c in ("method", "n_bytes", "quick", "signature")])
+    equal = F.col("old_quick").isNotNull()
+    for c in ("method", "n_bytes", "quick"):
+        equal &= F.col(c).eqNullSafe(F.col(f"old_{c}"))
+    judged = stored(marks.join(old, "path", "left").select(
+        *marks.columns, equal.alias("equal"), "old_signature"), "staged")
+    kept = judged.filter("equal").select(*marks.columns, F.col("old_signature").alias("signature"),
+                                         F.lit(False).alias("digested"))
+    # The suspicious paths are few or many by their stored size: the planner
+    # broadcasts them to the contents, or reduces the contents by a filter.
+    fresh = named.join(judged.filter(~F.col("equal")).select("path"), "path", "left_semi").select(
+        *marks.columns, signature("content", F.col("method")).alias("signature"), F.lit(True).alias("digested"))
+    return kept.unionByName(fresh)
+
+
+def digests_by_change(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(change, n_files, n_digested) of a staged snapshot against its baseline:
+    how many signatures were computed, by what became of the files."""
+    diff = diff_signatures(old, new).select("path", "change")
+    files = new.select("path", "digested").join(diff, "path", "full_outer")
+    return files.groupBy(F.coalesce("change", F.lit("unchanged")).alias("change")).agg(
+        F.count("*").alias("n_files"), F.count_if(F.coalesce("digested", F.lit(False))).alias("n_digested"))
+
+
 def commit_baseline(new: DataFrame, base_path: str, version: int) -> DataFrame:
     """Store ``new`` as the baseline version (a new folder; earlier
     versions stay readable) and return it read back."""

@@ -18,6 +18,7 @@ from inkwell.functions import distance as D
 from inkwell.functions import signatures as SG
 from inkwell.operators import changes as C
 from inkwell.sources import corpus as CO
+from inkwell.streaming import changes as CS
 from inkwell.streaming import live_index as LS
 from inkwell.streaming import suggest as PS
 from inkwell.operators import fuzzy as E
@@ -608,6 +609,35 @@ def q_signature_diff(spark, sf_dir):
     return C.diff_signatures(old, new)
 
 
+def _staged(spark, sf_dir):
+    """The watched files signed from scratch, then again after the delta."""
+    docs = WL.documents(spark, sf_dir)
+    old = stored(C.staged_signatures(WL.doc_files(docs), method="MD5"), "staged-old")
+    return old, C.staged_signatures(WL.live_files(docs), old, method="MD5")
+
+
+@register("staged_signatures")
+def q_staged_signatures(spark, sf_dir):
+    return _staged(spark, sf_dir)[1].drop("quick")
+
+
+@register("staged_digests")
+def q_staged_digests(spark, sf_dir):
+    return C.digests_by_change(*_staged(spark, sf_dir))
+
+
+@register("change_stream")
+def q_change_stream(spark, sf_dir):
+    """Three snapshots (the corpus, after the delta, the corpus again), the
+    stream stopped after each and started anew."""
+    old, new, _ = _snapshots(spark, sf_dir)
+    base = work_dir(spark, "changes")
+    for n, signatures in enumerate((old, new, old), 1):
+        CS.write_snapshot(signatures, f"{base}/log", n)
+        out = CS.run_change_stream(spark, f"{base}/log", f"{base}/out", f"{base}/checkpoint")
+    return out
+
+
 @register("commit_baseline")
 def q_commit_baseline(spark, sf_dir):
     _, new, _ = _snapshots(spark, sf_dir)

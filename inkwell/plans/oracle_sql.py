@@ -560,6 +560,24 @@ diff AS (
   FROM old_sig o FULL OUTER JOIN new_sig n ON o.path = n.path
 )"""
 ORACLES["signature_diff"] = _with(SNAP) + "\nSELECT path, change, signature FROM diff WHERE change IS NOT NULL"
+_DIGESTED = """
+staged AS (SELECT n.path, 'MD5' AS method, octet_length(encode(f.content)) AS n_bytes, n.signature,
+                  (o.path IS NULL OR o.text IS DISTINCT FROM f.content) AS digested
+           FROM new_sig n JOIN new_files f USING (path)
+           LEFT JOIN (SELECT 'docs/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, text FROM documents) o USING (path))"""
+ORACLES["staged_signatures"] = _with(SNAP, _DIGESTED) + "\nSELECT path, method, n_bytes, signature, digested FROM staged"
+ORACLES["staged_digests"] = _with(SNAP, _DIGESTED) + """
+SELECT coalesce(d.change, 'unchanged') AS change, count(*) AS n_files,
+       count(*) FILTER (WHERE s.digested) AS n_digested
+FROM diff d LEFT JOIN staged s USING (path) GROUP BY 1"""
+# The corpus, then the delta, then the corpus again.
+ORACLES["change_stream"] = _with(SNAP) + """
+SELECT CAST(1 AS BIGINT) AS snapshot, path, 'added' AS change, signature FROM old_sig
+UNION ALL SELECT 2, path, change, signature FROM diff WHERE change IS NOT NULL
+UNION ALL
+SELECT 3, d.path, CASE d.change WHEN 'added' THEN 'removed' WHEN 'removed' THEN 'added' ELSE 'changed' END,
+       o.signature
+FROM diff d LEFT JOIN old_sig o USING (path) WHERE d.change IS NOT NULL"""
 ORACLES["commit_baseline"] = _with(SNAP) + "\nSELECT path, method, signature FROM new_sig"
 ORACLES["signature_scalar"] = _with(FILES) + f"""
 SELECT path, 'MD5' AS method, {_sig('MD5', 'content')} AS signature,

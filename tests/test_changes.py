@@ -77,3 +77,26 @@ def test_document_records(spark, tmp_path):
     got = sorted((str(r["doc_id"]), r["title"], r["author"], r["text"]) for r in docs.collect())
     assert got == [("10", "new", "", "new\nz\n"), ("12", "", "é & ü", "\ny\né & ü"),
                    ("None", "", "", "\nu\n"), ("None", "", "", "\nv\n")]
+
+
+def test_staged_signatures_digest_only_suspicious_files(spark):
+    """Same rows as signing everything; kept, changed, added, null, empty and
+    equally long contents, another method for a file."""
+    schema = "path string, content string, method string"
+    old = [("keep", "abc", "MD5"), ("same-length", "abc", "MD5"), ("gone", "x", "MD5"), ("null", None, "MD5"),
+           ("to-null", "y", "MD5"), ("from-null", None, "SHA-256"), ("empty", "", "checksum"), ("method", "m", "MD5")]
+    new = [("keep", "abc", "MD5"), ("same-length", "abd", "MD5"), ("new", "x", "SHA-1"), ("null", None, "MD5"),
+           ("to-null", None, "MD5"), ("from-null", "", "SHA-256"), ("empty", "", "checksum"),
+           ("method", "m", "SHA-256")]
+    of = lambda rows: spark.createDataFrame(rows, schema)
+    first = C.staged_signatures(of(old))
+    assert all(r.digested for r in first.collect())
+    second = C.staged_signatures(of(new), first)
+    whole = {(r.path, r.method, r.signature) for r in C.content_signatures(of(new)).collect()}
+    assert {(r.path, r.method, r.signature) for r in second.collect()} == whole
+    assert {r.path for r in second.collect() if not r.digested} == {"keep", "null", "empty"}
+    got = {r.change: (r.n_files, r.n_digested) for r in C.digests_by_change(first, second).collect()}
+    assert got == {"unchanged": (3, 0), "changed": (4, 4), "added": (1, 1), "removed": (1, 0)}
+    none = C.staged_signatures(of([]), first)
+    assert none.count() == 0
+    assert C.staged_signatures(of([])).count() == 0
