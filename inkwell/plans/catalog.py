@@ -26,6 +26,7 @@ from inkwell.operators import live as L
 from inkwell.operators.segments import SegmentStore
 from inkwell.operators import spelling as SP
 from inkwell.operators import similar as W
+from inkwell.operators import topk as K
 from inkwell.session import stored, work_dir
 from inkwell.operators import stats as A
 from inkwell.sources import workloads as WL
@@ -145,6 +146,12 @@ def q_search_page(spark, sf_dir):
     return S.search_page(_index(spark, sf_dir), WL.workload(spark), page_no=2)
 
 
+@register("search_page_bounded")
+def q_search_page_bounded(spark, sf_dir):
+    """The same page; only documents that can reach it are scored."""
+    return K.bounded_page(_index(spark, sf_dir), WL.workload(spark), page_no=2)
+
+
 @register("snippets")
 def q_snippets(spark, sf_dir):
     idx, _, res = _results(spark, sf_dir)

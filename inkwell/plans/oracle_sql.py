@@ -193,6 +193,7 @@ ORACLES["snippets"] = SEARCH + f"""
 SELECT r.query_id, r.doc_id, r.score, r.location,
        CASE WHEN d.text IS NULL THEN '' ELSE {snippet_sql('d.text', 'r.location')} END AS snippet
 FROM results r LEFT JOIN documents d ON r.doc_id = d.doc_id"""
+ORACLES["search_page_bounded"] = ORACLES["search_page"]
 ORACLES["search_report"] = SEARCH + f"""
 SELECT query_id, rank, doc_id, score, location,
        CASE WHEN text IS NULL THEN '' ELSE {snippet_sql('text', 'location')} END AS snippet
