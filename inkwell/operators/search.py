@@ -36,6 +36,7 @@ from inkwell.session import stored
 NEGATED_PHRASE = r'!"(.+?)"'
 PHRASE = r'"(.+?)"'
 PAGE_SIZE = 10
+QUERY_KINDS = ["empty", "negated", "mixed", "phrase", "words", "word"]
 # Ids per block when a page is cut from the ordered ids.
 ID_BLOCK = 1024
 
@@ -70,6 +71,18 @@ def explode_query_terms(queries: DataFrame, query_col: str = "query") -> DataFra
         F.col("offset").cast("int").alias("offset"), "word")
 
 
+def query_kinds(queries: DataFrame, query_terms: DataFrame) -> DataFrame:
+    """(query_id, kind) of every query: empty, negated (nothing else), mixed
+    (negated and positive terms), phrase, words or word."""
+    terms = query_terms.filter(F.col("offset") == 0).groupBy("query_id").agg(
+        F.count_if("negated").alias("n_neg"), F.count_if(~F.col("negated")).alias("n_pos"),
+        F.max("n_words").alias("longest"))
+    kind = (F.when(F.col("n_pos").isNull(), "empty").when(F.col("n_pos") == 0, "negated")
+            .when(F.col("n_neg") > 0, "mixed").when(F.col("longest") > 1, "phrase")
+            .when(F.col("n_pos") > 1, "words").otherwise("word"))
+    return queries.select("query_id").distinct().join(terms, "query_id", "left").select("query_id", kind.alias("kind"))
+
+
 def term_hits(postings: DataFrame | list[DataFrame], query_terms: DataFrame, buckets: int | None = None) -> DataFrame:
     """Q2: postings of every query word, tagged with the query term.  Postings
     of several segments are joined each on their own, so each prunes its buckets.

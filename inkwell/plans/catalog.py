@@ -21,12 +21,14 @@ from inkwell.sources import corpus as CO
 from inkwell.streaming import changes as CS
 from inkwell.streaming import live_index as LS
 from inkwell.streaming import suggest as PS
+from inkwell.streaming.metrics import Timer
 from inkwell.operators import fuzzy as E
 from inkwell.operators import live as L
 from inkwell.operators.segments import SegmentStore
 from inkwell.operators import spelling as SP
 from inkwell.operators import similar as W
 from inkwell.operators import topk as K
+from inkwell.plans.joins import salted_join
 from inkwell.session import stored, work_dir
 from inkwell.operators import stats as A
 from inkwell.sources import workloads as WL
@@ -734,6 +736,35 @@ def q_metrics(spark, sf_dir):
     return indexer.timings()
 
 
+def timed_queries(docs, queries, words, base):
+    """A timer with one step for the build, one for each kind of query in
+    the workload and one for each kind of similar-words look-up."""
+    timer = Timer()
+    terms = S.explode_query_terms(queries)
+    index = P.build_index(docs)
+    asked = salted_join(index.postings, terms.select(F.col("word").alias("term")).distinct(), ["term"], "doc_id") \
+        .select("doc_id", "pos", "wpos", "term")
+    index = P.Index(docs, timer.run("build", asked, f"{base}/postings"))
+    kinds = stored(S.query_kinds(queries, terms), "query-kinds")
+    for kind in S.QUERY_KINDS:
+        of_kind = queries.join(kinds.filter(F.col("kind") == kind), "query_id", "left_semi")
+        timer.run(kind, S.search(index, of_kind))
+    stats = stored(_stats(docs), "stats")
+    timer.run("similar first", W.similar_words(docs, words, stats, mode="first"))
+    timer.run("similar all", W.similar_words(docs, words, mode="all"))
+    return timer
+
+
+@register("query_metrics")
+def q_query_metrics(spark, sf_dir):
+    """Timings differ from run to run, so only the rows of each step and that it
+    was timed are returned."""
+    docs = WL.documents(spark, sf_dir)
+    timer = timed_queries(docs, WL.workload(spark), WL.similar_words_input(spark), work_dir(spark, "timed"))
+    return timer.frame(spark).select("name", F.col("input_rows").alias("n_rows"),
+                                     (F.col("duration_ms") >= 0).alias("timed"))
+
+
 def _streamed_suggestions(log, stats):
     """Two arrivals of many files each, in the order of ts (rows without one
     come first); the stream is stopped and started anew between them."""

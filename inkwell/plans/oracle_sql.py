@@ -625,3 +625,19 @@ ORACLES["edit_distance_weighted_by_user"] = _SPELL_BY_USER.replace("WITH ", "WIT
     ORACLES["edit_distance_weighted"].removeprefix(_RECURSIVE)
 ORACLES["suggest_stream_by_user"] = ORACLES["suggest_by_user"]
 ORACLES["live_similar_all"] = ORACLES["similar_all"].replace("WITH " + tokenize_cte().strip(), _with(*LIVE_KEPT), 1)
+
+# One row per timed step: the build, each kind of query, similar words.
+ORACLES["query_metrics"] = SEARCH + f""",
+kinds AS (
+  SELECT q.query_id, CASE WHEN count(t.query_id) = 0 THEN 'empty' WHEN count(*) FILTER (WHERE NOT t.negated) = 0 THEN 'negated'
+    WHEN bool_or(t.negated) THEN 'mixed' WHEN max(t.n_words) > 1 THEN 'phrase'
+    WHEN count(*) > 1 THEN 'words' ELSE 'word' END AS kind
+  FROM queries q LEFT JOIN qt t ON t.query_id = q.query_id AND t."offset" = 0 GROUP BY q.query_id
+)
+SELECT 'build' AS name, count(*) AS n_rows, true AS timed FROM postings WHERE term IN (SELECT word FROM qt)
+UNION ALL
+SELECT n.kind, count(r.query_id), true
+FROM (SELECT unnest(['empty', 'negated', 'mixed', 'phrase', 'words', 'word']) AS kind) n
+LEFT JOIN kinds k ON k.kind = n.kind LEFT JOIN results r ON r.query_id = k.query_id GROUP BY n.kind
+UNION ALL SELECT 'similar first', count(*), true FROM ({ORACLES["similar_first"]})
+UNION ALL SELECT 'similar all', count(*), true FROM ({ORACLES["similar_all"]})"""
