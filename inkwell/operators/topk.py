@@ -8,8 +8,9 @@ score, and candidates already hold all words of a phrase, the rarest included.
 
 Positions are read for candidates only:
 
-1. the documents of the greatest possible scores, as many as the page reaches to,
-   are scored; the last of them, or of the least scores, is a floor for the page;
+1. the documents of the greatest possible scores, ``PROBES`` times as many as the
+   page reaches to, are scored; the page's last place among them, or among the least
+   scores, is a floor for the page;
 2. documents whose greatest score lies below the floor are dropped, the others
    scored; a phrase is matched once, whatever the number of queries;
 3. locations are looked up for the page's rows alone.
@@ -30,6 +31,10 @@ from inkwell.operators.search import (ID_BLOCK, PAGE_SIZE, _first_key, _location
 from inkwell.plans.joins import salted_join
 from inkwell.session import stored
 
+# Documents scored for the floor, per place up to the page's last.  More give a
+# higher floor; the page is the same.
+PROBES = 20
+
 
 def _uses(query_terms: DataFrame) -> DataFrame:
     """(query_id, term_no, negated, n_words, phrase, words) per query term."""
@@ -123,7 +128,7 @@ def candidates(index: Index, query_terms: DataFrame, hi: int) -> tuple[Index, Da
     caps = stored(phrase_caps(asked.counts, uses), "phrase-caps")
     bounds = stored(score_bounds(caps, uses), "score-bounds")
     w = Window.partitionBy("query_id").orderBy(F.desc("most"), F.asc("doc_id"))
-    first = bounds.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= hi).select("query_id", "doc_id")
+    first = bounds.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= PROBES * hi).select("query_id", "doc_id")
     floors = _last_of_top(_scores(asked, caps, uses, stored(first, "most-likely")), "score", hi).unionByName(
         _last_of_top(bounds, "least", hi)).groupBy("query_id").agg(F.max("floor").alias("floor"))
     kept = bounds.join(stored(floors, "page-floors"), "query_id", "left").filter(
