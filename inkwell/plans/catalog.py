@@ -481,14 +481,26 @@ for _name, _of in {
         lambda spark, sf_dir, of=_of: of(*_log_inputs(spark, sf_dir, WL.user_query_log)))
 
 
+def _words_and_vocabulary(spark, sf_dir):
+    """The words of the benchmark passages and the whole vocabulary, stored: a
+    fuzzy join reads both more than once."""
+    bench = WL.read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    words = P.build_postings(bench).select(F.col("term").alias("word")).distinct()
+    vocab = P.build_postings(WL.documents(spark, sf_dir)).select("term").distinct()
+    return stored(words, "asked-words"), stored(vocab, "vocabulary")
+
+
 @register("fuzzy_match")
 def q_fuzzy_match(spark, sf_dir):
     """The words of the benchmark passages against the whole vocabulary."""
-    bench = WL.read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-    words = P.build_postings(bench).select(F.col("term").alias("word")).distinct()
-    docs = WL.documents(spark, sf_dir)
-    vocab = P.build_postings(docs).select("term").distinct()
-    return E.fuzzy_match(words, vocab, max_distance=2)
+    return E.fuzzy_match(*_words_and_vocabulary(spark, sf_dir), max_distance=2)
+
+
+@register("fuzzy_match_weighted")
+def q_fuzzy_match_weighted(spark, sf_dir):
+    """The same by weighted distance, hyphens being gaps: at most one letter
+    replaced or two inserted or deleted, hyphens aside."""
+    return E.weighted_match(*_words_and_vocabulary(spark, sf_dir), max_cost=2, costs=(0, 1, 2), hyphen="gap")
 
 
 @register("fuzzy_match_log")

@@ -495,6 +495,19 @@ JOIN (SELECT DISTINCT term FROM postings) v
   ON abs(length(w.word) - length(v.term)) <= 2 AND {_lev('w.word', 'v.term')} <= 2"""
 
 
+# Pairs within two unit-cost edits, hyphens aside, are a superset; the table decides.
+_BARE = "replace({}, '-', '')"
+ORACLES["fuzzy_match_weighted"] = _with(
+    tokenize_cte(), "bench AS (SELECT item_id AS doc_id, text FROM benchmark)",
+    tokenize_cte("bench", "bench_postings"), f"""pairs AS (
+  SELECT 0 AS session_id, 0 AS ts, w.word AS prev, v.term AS query
+  FROM (SELECT DISTINCT term AS word FROM bench_postings) w JOIN (SELECT DISTINCT term FROM postings) v
+    ON {_lev(_BARE.format('w.word'), _BARE.format('v.term'))} <= 2)""").replace("WITH ", "WITH RECURSIVE ", 1) + _weighted(
+    1, "(CASE WHEN {x} = {y} THEN 0 WHEN {x} = '-' OR {y} = '-' THEN 1 ELSE 2 END)").replace(
+    "SELECT p.session_id, p.ts, p.prev, p.query,", "SELECT p.prev AS word, p.query AS match,") + \
+    "\nWHERE s.distance <= 2"
+
+
 # --- step 5: corpus ----------------------------------------------------------
 XML = """
 xml AS (
