@@ -1,9 +1,9 @@
 """Phrase statistics over the main index and document lookups.
 
 A phrase table is turned into the same term rows a search query produces
-(one term per phrase), so phrase matching reuses the search plan: broadcast
-join of the (size-checked) phrase words to postings, then relational
-division keyed by start position.
+(one term per phrase), so phrase matching reuses the search plan: a salted
+join of the phrase words to postings, then relational division keyed by
+start position.
 """
 
 from __future__ import annotations
