@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.functions.text import term_positions
+from inkwell.functions.text import exploded, offset_of, with_terms
 from inkwell.operators.postings import Index, read_index, write_index
 from inkwell.operators.search import search
 
@@ -56,10 +56,8 @@ def delta_postings(delta_docs: DataFrame) -> DataFrame:
     """Postings of the newest versions, tagged with their index_seq (narrow:
     index_seq rides along the document row through the tokenizer)."""
     docs = alive(latest_delta(delta_docs))
-    return docs.select("doc_id", "index_seq",
-                       F.posexplode(term_positions("text")).alias("pos", "t")).select(
-        "doc_id", F.col("pos").cast("int").alias("pos"), F.col("t.wpos").alias("wpos"),
-        F.col("t.term").alias("term"), "index_seq")
+    return (exploded(with_terms(docs, "doc_id", "index_seq"), "doc_id", "index_seq", "_w")
+            .select("doc_id", "pos", offset_of().alias("wpos"), "term", "index_seq"))
 
 
 def remove_docs(index: Index, ids: DataFrame) -> Index:
