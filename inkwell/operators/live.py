@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import exploded, offset_of, with_terms
-from inkwell.operators.postings import Index, read_index, write_index
+from inkwell.operators.postings import Index, build_postings, read_index, write_index
 from inkwell.operators.search import search
+from inkwell.session import stored
 
 # Fixed value: merge once more distinct files than this have changed.
 DEFAULT_MERGE_THRESHOLD = 10
@@ -67,24 +68,29 @@ def remove_docs(index: Index, ids: DataFrame) -> Index:
                  postings=index.postings.join(ids, "doc_id", "left_anti"), buckets=index.buckets)
 
 
+def _newest(delta_docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The newest versions and their ids, stored: both are read several times, and
+    the planner sees that the ids are few, so that main is not shuffled by them."""
+    newest = stored(latest_delta(delta_docs), "newest")
+    return newest, stored(newest.select("doc_id"), "newest-ids")
+
+
 def live_index(main: Index, delta_docs: DataFrame) -> Index:
     """L5 as a view: main minus delta documents, plus the newest delta versions."""
-    newest = latest_delta(delta_docs)
-    ids = newest.select("doc_id")
+    newest, ids = _newest(delta_docs)
     masked = remove_docs(main, ids)
     docs = masked.docs.select("doc_id", "text").unionByName(alive(newest).select("doc_id", "text"))
     postings = masked.postings.select("doc_id", "pos", "wpos", "term").unionByName(
-        delta_postings(delta_docs).select("doc_id", "pos", "wpos", "term"))
+        build_postings(alive(newest)))
     return Index(docs=docs, postings=postings)
 
 
 def live_search(main: Index, delta_docs: DataFrame, queries: DataFrame) -> DataFrame:
     """Search main and delta, mask main results held by a delta (also as a
     removal), union."""
-    newest = latest_delta(delta_docs)
-    delta = Index(docs=alive(newest).select("doc_id", "text"),
-                  postings=delta_postings(delta_docs).drop("index_seq"))
-    main_res = search(main, queries).join(newest.select("doc_id"), "doc_id", "left_anti")
+    newest, ids = _newest(delta_docs)
+    delta = Index(docs=alive(newest).select("doc_id", "text"), postings=build_postings(alive(newest)))
+    main_res = search(main, queries).join(ids, "doc_id", "left_anti")
     return main_res.unionByName(search(delta, queries)).select(
         "query_id", "doc_id", "score", "location")
 
