@@ -7,6 +7,7 @@ from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
 
+from inkwell.functions import text as T
 from inkwell.functions.text import snippet, with_terms
 from inkwell.operators import fuzzy as E
 from inkwell.operators import live as L
@@ -145,3 +146,19 @@ def test_snippets_split_a_text_once_for_all_its_locations(spark):
         snippet("text", "location"), F.lit("")).alias("snippet"))
     assert rows(got.select("query_id", "doc_id", "location", "snippet")) == rows(want)
     assert plan(got).count("split(") <= 2
+
+
+def test_neighbours_of_joined_terms_split_texts_once(spark):
+    docs = stored(odd_docs(spark), "t-docs")
+    terms = stored(spark.createDataFrame([("a",)], "term string"), "t-terms")
+    assert plan(W.neighbours(docs).join(terms, "term").dropna(subset=["prev1", "next1"])).count("split(") == 1
+
+
+def test_word_edges_as_by_the_plain_pattern(spark):
+    odd = ["a", "Z9", ".", "-", "é", "ß", "\u0663", "\U0001F600", "\U00010400", " ", "  ", "\t", "\n\r", "\u00a0", "_", ""]
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, "".join(rng.choices(odd, k=12))) for i in range(600)], "doc_id int, text string")
+    spaced = F.regexp_replace(T.fold_stops("text"), r"\s{2,}|[\t\n\x0B\f\r]", " ")
+    other = r"[^ a-z0-9\p{L}\p{N}]"
+    plain = F.split(F.regexp_replace(F.lower(spaced), rf"(?<![^ ]){other}++|{other}++(?![^ ])", ""), " ")
+    assert docs.filter(T.term_array("text") != plain).isEmpty()
