@@ -162,3 +162,8 @@ def test_word_edges_as_by_the_plain_pattern(spark):
     other = r"[^ a-z0-9\p{L}\p{N}]"
     plain = F.split(F.regexp_replace(F.lower(spaced), rf"(?<![^ ]){other}++|{other}++(?![^ ])", ""), " ")
     assert docs.filter(T.term_array("text") != plain).isEmpty()
+
+
+def test_packed_terms_with_a_filter_split_texts_once(spark):
+    docs = stored(odd_docs(spark).filter("doc_id > 2"), "t-docs")
+    assert plan(P.packed_of_docs(docs).filter("term > 'b'")).count("split(") == 1
