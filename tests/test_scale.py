@@ -167,3 +167,12 @@ def test_word_edges_as_by_the_plain_pattern(spark):
 def test_packed_terms_with_a_filter_split_texts_once(spark):
     docs = stored(odd_docs(spark).filter("doc_id > 2"), "t-docs")
     assert plan(P.packed_of_docs(docs).filter("term > 'b'")).count("split(") == 1
+
+
+def test_contexts_of_few_words_meet_them_where_they_occur(spark):
+    docs = stored(odd_docs(spark), "t-docs")
+    words = spark.createDataFrame([("a",), ("a",), (None,)], "word string")
+    for mode in ("first", "all"):
+        made = plan(W.word_contexts(docs, words, mode))
+        assert made.count("split(") == 1
+        assert "hashpartitioning(term" not in made
