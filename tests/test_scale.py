@@ -176,3 +176,10 @@ def test_contexts_of_few_words_meet_them_where_they_occur(spark):
         made = plan(W.word_contexts(docs, words, mode))
         assert made.count("split(") == 1
         assert "hashpartitioning(term" not in made
+
+
+def test_first_occurrences_without_a_function_per_term(spark):
+    docs = stored(odd_docs(spark), "t-docs")
+    made = plan(W.first_occurrence(docs))
+    assert made.count("split(") == 1
+    assert made.count("lambdafunction") == 1  # the offsets
