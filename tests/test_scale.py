@@ -15,6 +15,7 @@ from inkwell.operators import postings as P
 from inkwell.operators import search as S
 from inkwell.operators import similar as W
 from inkwell.operators import stats as A
+from inkwell.plans import catalog
 from inkwell.plans.joins import salted_join
 from inkwell.session import stored, work_dir
 from inkwell.sources import workloads as WL
@@ -183,3 +184,16 @@ def test_first_occurrences_without_a_function_per_term(spark):
     made = plan(W.first_occurrence(docs))
     assert made.count("split(") == 1
     assert made.count("lambdafunction") == 1  # the offsets
+
+
+def test_statistics_without_a_function_per_term(spark):
+    made = plan(P.stats_of_docs(stored(odd_docs(spark), "t-docs").filter("doc_id > 2")))
+    assert "lambdafunction" not in made
+
+
+def test_word_pairs_shuffle_single_words_only(spark):
+    log = spark.createDataFrame([(1, 1, "a"), (1, 2, "b c"), (1, 3, "!d"), (1, 4, None), (1, 5, "e"), (None, 6, "f"), (None, 7, "g")],
+                                "session_id bigint, ts bigint, query string")
+    pairs = catalog._word_pairs(stored(log, "t-log"))
+    assert rows(pairs.select("session_id", "ts", "query", "prev")) == {(1, 5, "e", "a"): 1, (None, 7, "g", "f"): 1}
+    assert "StringContains" in plan(pairs)
