@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import exploded, offset_of, with_terms
-from inkwell.operators.postings import Index, build_postings, read_index, write_index
+from inkwell.operators.postings import PACKED, Index, build_postings, pack, packed_places, read_index, unpacked, write_index
 from inkwell.operators.search import search
+from inkwell.plans.joins import without_ids
 from inkwell.session import stored
 
 # Fixed value: merge once more distinct files than this have changed.
@@ -62,10 +63,10 @@ def delta_postings(delta_docs: DataFrame) -> DataFrame:
 
 
 def remove_docs(index: Index, ids: DataFrame) -> Index:
-    """L4: drop documents (and their postings) by id."""
-    ids = ids.select("doc_id").distinct()
-    return Index(docs=index.docs.join(ids, "doc_id", "left_anti"),
-                 postings=index.postings.join(ids, "doc_id", "left_anti"), buckets=index.buckets)
+    """L4: drop documents (and their postings) by id; neither is shuffled."""
+    packed = None if index.packed is None else without_ids(index.packed, ids)
+    postings = without_ids(index.postings, ids) if packed is None else unpacked(packed)
+    return Index(docs=without_ids(index.docs, ids), postings=postings, buckets=index.buckets, packed=packed)
 
 
 def _newest(delta_docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -79,10 +80,17 @@ def live_index(main: Index, delta_docs: DataFrame) -> Index:
     """L5 as a view: main minus delta documents, plus the newest delta versions."""
     newest, ids = _newest(delta_docs)
     masked = remove_docs(main, ids)
-    docs = masked.docs.select("doc_id", "text").unionByName(alive(newest).select("doc_id", "text"))
-    postings = masked.postings.select("doc_id", "pos", "wpos", "term").unionByName(
-        build_postings(alive(newest)))
-    return Index(docs=docs, postings=postings)
+    fresh = alive(newest)
+    docs = masked.docs.select("doc_id", "text").unionByName(fresh.select("doc_id", "text"))
+    postings = masked.postings.select("doc_id", "pos", "wpos", "term").unionByName(build_postings(fresh))
+    if masked.packed is None:
+        return Index(docs=docs, postings=postings)
+    packed = masked.packed.select(*PACKED).unionByName(packed_places(fresh))
+    # Ids of both sides differ, but for null, which masks nothing: such documents' places meet here.
+    unnamed = [p.select("doc_id").filter("doc_id is null") for p in (masked.docs, fresh)]
+    if not any(ids.isEmpty() for ids in unnamed):
+        packed = packed.filter("doc_id is not null").unionByName(pack(postings.filter("doc_id is null")))
+    return Index(docs=docs, postings=postings, packed=packed)
 
 
 def live_search(main: Index, delta_docs: DataFrame, queries: DataFrame) -> DataFrame:

@@ -97,5 +97,5 @@ def write_delta_docs(delta: DataFrame, path: str) -> None:
     that arrives in several micro-batches keeps all of them."""
     if "stream_batch" not in delta.columns:
         delta = delta.withColumn("stream_batch", F.lit(0).cast("bigint"))
-    (delta.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (delta.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .partitionBy("index_seq", "stream_batch").parquet(path))

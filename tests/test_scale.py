@@ -16,7 +16,7 @@ from inkwell.operators import search as S
 from inkwell.operators import similar as W
 from inkwell.operators import stats as A
 from inkwell.plans import catalog
-from inkwell.plans.joins import salted_join
+from inkwell.plans.joins import salted_join, with_ids, without_ids
 from inkwell.session import stored, work_dir
 from inkwell.sources import workloads as WL
 
@@ -197,3 +197,38 @@ def test_word_pairs_shuffle_single_words_only(spark):
     pairs = catalog._word_pairs(stored(log, "t-log"))
     assert rows(pairs.select("session_id", "ts", "query", "prev")) == {(1, 5, "e", "a"): 1, (None, 7, "g", "f"): 1}
     assert "StringContains" in plan(pairs)
+
+
+def test_places_and_masks_shuffle_no_postings(spark):
+    """Also when the ids are too many for the planner to broadcast them."""
+    docs = odd_docs(spark)
+    main, delta = stored(docs, "t-docs"), spark.createDataFrame(
+        [(i, f"new a{i} . b", 1, "p") for i in (1, 4, 70, None)], "doc_id bigint, text string, index_seq int, path string")
+    path = work_dir(spark, "t-index")
+    P.write_index(P.build_index(main), path, buckets=3)
+    index = P.read_index(spark, path)
+    assert rows(index.postings.drop("term_bucket").select("doc_id", "pos", "wpos", "term")) == rows(P.build_postings(docs))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        live = L.live_index(index, delta)
+        ids = delta.select("doc_id")
+        for made in (P.places_in_rows(main), L.remove_docs(index, ids).packed, L.remove_docs(index, ids).docs):
+            assert "SortMergeJoin" not in plan(made) and "hashpartitioning(doc_id" not in plan(made)
+        merged = L.merge_delta(index, delta, work_dir(spark, "t-merge"), version=2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    columns = ["doc_id", "pos", "wpos", "term"]
+    assert rows(merged.postings.select(columns)) == rows(P.build_postings(live.docs)) == rows(live.postings.select(columns))
+    counts = ["doc_id", "term", "tf"]
+    assert rows(merged.counts.select(counts)) == rows(P.term_counts(merged.postings).select(counts))
+    assert rows(merged.stats.select("term", "df", "cf")) == rows(P.term_stats(merged.postings, merged.docs).select("term", "df", "cf"))
+
+
+def test_rows_by_id_masks(spark):
+    rng = random.Random(4)
+    ids = [rng.choice([-1, 1]) * rng.randrange(1 << rng.choice([3, 8, 62])) for _ in range(300)] + [None, 0, 63, 64, -64, -(1 << 63)]
+    all_rows = spark.createDataFrame([(i, n) for n, i in enumerate(ids + ids[:20])], "doc_id bigint, n int")
+    asked = spark.createDataFrame([(i,) for i in ids[::3] + ids[-3:] + [None]], "doc_id bigint")
+    assert rows(with_ids(all_rows, asked)) == rows(all_rows.join(asked, "doc_id", "left_semi"))
+    assert rows(without_ids(all_rows, asked)) == rows(all_rows.join(asked, "doc_id", "left_anti"))
