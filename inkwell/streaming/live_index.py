@@ -15,7 +15,8 @@
 * L7/L8: when more distinct files than the threshold sit in the delta, the
   live view is written as the next main version, then a fresh delta folder
   is started; pointer ``v=N`` records both in a folder of its own, and a
-  restarted job resumes from the highest one that is complete.
+  restarted job resumes from the highest one that is complete.  What the
+  pointer no longer lists is dropped, so two main versions are stored at most.
 """
 
 from __future__ import annotations
@@ -147,6 +148,22 @@ class LiveIndexer:
         self.delta_version += 1
         self.merges += 1
         self._write_pointer()
+        self.vacuum()
+
+    def vacuum(self) -> list[str]:
+        """Drop the main versions and deltas before those of the pointer: a merge
+        writes a whole main version, so the disk would grow by the corpus with each.
+        (Frames planned before a merge are to be planned again after it.)"""
+        jvm, gone = self.spark._jvm, []
+        for folder, keep in (("main/v", self.main_version), ("delta/d", self.delta_version)):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{folder.split('/')[0]}")
+            fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            for status in (fs.listStatus(path) if fs.exists(path) else []):
+                name, _, number = status.getPath().getName().partition("=")
+                if name == folder[-1] and number.isdigit() and int(number) < keep:
+                    fs.delete(status.getPath(), True)
+                    gone.append(f"{folder}={number}")
+        return sorted(gone)
 
     def live(self) -> Index:
         """The current main version plus the current delta as one index."""

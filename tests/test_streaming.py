@@ -146,3 +146,17 @@ def test_pointer_survives_an_incomplete_switch(spark):
     again = LiveIndexer(spark, idx.base)
     assert (again.main_version, again.delta_version) == (2, 2)
     assert {r["doc_id"] for r in again.search(spark.createDataFrame([(0, "omega")], "query_id bigint, query string")).collect()} == {9}
+
+
+def test_merges_leave_one_main_version_and_what_the_pointer_lists(spark):
+    import glob
+    idx = _indexer(spark, "t-versions")
+    for batch_id, text in enumerate(["omega", "omega psi"]):
+        idx.process(spark.createDataFrame([("docs/9.xml", "changed", text, None, batch_id + 1)], CHANGES), batch_id)
+        idx.merge(batch_id)
+    base = idx.base.replace("file:", "")
+    assert [p.rsplit("/", 1)[1] for p in glob.glob(f"{base}/main/v=*")] == ["v=3"]
+    assert glob.glob(f"{base}/delta/d=*") == []
+    queries = spark.createDataFrame([(0, "psi"), (1, "beta"), (2, "")], "query_id bigint, query string")
+    got = sorted((r["query_id"], r["doc_id"]) for r in idx.search(queries).collect())
+    assert got == [(0, 9), (1, 1), (1, 2), (2, 1), (2, 2), (2, 9)]
