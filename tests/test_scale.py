@@ -232,3 +232,19 @@ def test_rows_by_id_masks(spark):
     asked = spark.createDataFrame([(i,) for i in ids[::3] + ids[-3:] + [None]], "doc_id bigint")
     assert rows(with_ids(all_rows, asked)) == rows(all_rows.join(asked, "doc_id", "left_semi"))
     assert rows(without_ids(all_rows, asked)) == rows(all_rows.join(asked, "doc_id", "left_anti"))
+
+
+def test_frames_are_stored_without_a_shuffle_and_looked_up_by_bucket(spark, monkeypatch):
+    docs = stored(odd_docs(spark), "t-docs")
+    assert "Exchange" not in plan(W.frames(docs)) and plan(W.frames(docs)).count("split(") == 1
+    path = f"{work_dir(spark, 't-frames')}/t"
+    W.write_frames(W.frames(docs), path)
+    kept = spark.read.parquet(path)
+    words = spark.createDataFrame([("a",), ("b",)], "word string")
+    seen = []
+    one = W._similar_in_frames
+    monkeypatch.setattr(W, "_similar_in_frames", lambda rows, asked: seen.append(rows.count()) or one(rows, asked))
+    columns = ["word", "candidate", "n"]
+    assert rows(W.similar_in_frames(kept, words).select(columns)) == \
+        rows(W.similar_words(docs, words, mode="all").select(columns)) != Counter()
+    assert len(seen) == W.FRAME_BUCKETS and sum(seen) == kept.count()
