@@ -36,3 +36,24 @@ def test_one_step_per_kind(spark):
     assert names == ["build", *QUERY_KINDS, "similar first", "similar all"]
     rows = {r.name: r.input_rows for r in timer.frame(spark).collect()}
     assert rows["empty"] == 4 and rows["words"] == 2
+
+
+def test_texts_are_tokenized_once_and_postings_not_shuffled(spark, monkeypatch):
+    import io
+    from contextlib import redirect_stdout
+    plans = {}
+    run = Timer.run
+
+    def noted(self, name, df, *rest):
+        with redirect_stdout(io.StringIO()) as out:
+            df.explain()
+        plans[name] = out.getvalue()
+        return run(self, name, df, *rest)
+
+    monkeypatch.setattr(Timer, "run", noted)
+    docs = spark.createDataFrame([(1, "was it the end of the road"), (1, "it was"), (None, "in the end"), (3, None)],
+                                 "doc_id bigint, text string")
+    timer = timed_queries(docs, WL.workload(spark), WL.similar_words_input(spark), work_dir(spark, "t-timed"))
+    assert "Exchange hashpartitioning(term" not in plans["build"] and "SortMergeJoin" not in plans["build"]
+    assert not any("split(" in plans[name] for name in ("similar first", "similar all"))
+    assert {r.name: r.input_rows for r in timer.frame(spark).collect()}["build"] == 7
